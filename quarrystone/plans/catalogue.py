@@ -1,0 +1,11 @@
+"""Registered queries over the driver's tables and the DuckDB SQL that must return the same rows."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+FLAGSHIP = "signal_volume_change"
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
