@@ -5,7 +5,549 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarrystone import contracts as C
+from quarrystone.functions import scalars as S
+from quarrystone.operators import documents, duplicates, normalize, quality, reconcile, signals, tfidf
+from quarrystone.plans import workload as W
+from quarrystone.sources import catalog, pipe
 
 FLAGSHIP = "signal_volume_change"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable:
+    """Registers a function of (spark, sf_dir) under its own name, with its oracle."""
+
+    def keep(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return keep
+
+
+# ---------------------------------------------------------------- signals
+
+_IND = W.oracle("w_reports", "w_devices") + """, ind AS (
+SELECT DISTINCT r.dataset_snapshot_id, r.mdr_report_key AS report_id, TRY_CAST(r.date_received AS DATE) AS date_received,
+  nullif(upper(trim(d.device_report_product_code)), '') AS product_code, r.event_type AS reported_event_type_raw,
+  CASE upper(trim(coalesce(r.event_type, ''))) WHEN 'DEATH' THEN 'death' WHEN 'INJURY' THEN 'injury' WHEN 'MALFUNCTION' THEN 'malfunction'
+    WHEN 'OTHER' THEN 'other' WHEN '' THEN 'missing' ELSE 'unrecognized' END AS reported_severity_category
+FROM w_reports r LEFT JOIN w_devices d USING (mdr_report_key))"""
+_MONTHLY = _IND + """, monthly AS (
+SELECT product_code, date_trunc('month', date_received)::DATE AS month, count(*) AS report_count,
+  count(*) FILTER (reported_severity_category = 'death') AS reported_death_count, count(*) FILTER (reported_severity_category = 'injury') AS reported_injury_count,
+  count(*) FILTER (reported_severity_category = 'malfunction') AS reported_malfunction_count, count(*) FILTER (reported_severity_category = 'other') AS reported_other_count,
+  count(*) FILTER (reported_severity_category = 'missing') AS missing_event_type_count, count(*) FILTER (reported_severity_category = 'unrecognized') AS unrecognized_event_type_count
+FROM ind WHERE date_received IS NOT NULL GROUP BY ALL)"""
+_BOUNDS = _MONTHLY + """, b AS (
+SELECT l AS latest_complete_month, (l - INTERVAL 2 MONTH)::DATE AS recent_window_start, (l - INTERVAL 14 MONTH)::DATE AS baseline_window_start, earliest
+FROM (SELECT least(date_trunc('month', max(date_received))::DATE, DATE '2001-07-01') AS l, min(date_received) AS earliest FROM ind)),
+months AS (SELECT unnest(generate_series(baseline_window_start, latest_complete_month, INTERVAL 1 MONTH))::DATE AS month FROM b)"""
+_GRID = _BOUNDS + """, seen AS (SELECT DISTINCT product_code FROM monthly, b WHERE month BETWEEN baseline_window_start AND latest_complete_month),
+grid AS (SELECT s.product_code, m.month, coalesce(x.report_count, 0) AS report_count, m.month >= b.recent_window_start AS recent
+FROM seen s CROSS JOIN months m CROSS JOIN b LEFT JOIN monthly x ON x.month = m.month AND x.product_code IS NOT DISTINCT FROM s.product_code)"""
+
+
+def _indicators(spark: SparkSession, sf: str) -> DataFrame:
+    return signals.report_indicators(W.projected(spark, sf, W.REPORTS), W.projected(spark, sf, W.DEVICES))
+
+
+def _monthly(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    made = _indicators(spark, sf)
+    return signals.monthly_cohorts(made), signals.window_bounds(made, W.COMPLETED)
+
+
+@query(_IND + " SELECT * FROM ind")
+def signal_report_indicators(spark: SparkSession, sf: str) -> DataFrame:
+    return _indicators(spark, sf)
+
+
+@query(_MONTHLY + " SELECT * FROM monthly")
+def signal_monthly_cohorts(spark: SparkSession, sf: str) -> DataFrame:
+    return _monthly(spark, sf)[0]
+
+
+@query(_MONTHLY + " SELECT product_code, month, category, n FROM (UNPIVOT monthly ON reported_death_count, reported_injury_count, reported_malfunction_count, reported_other_count, missing_event_type_count, unrecognized_event_type_count INTO NAME category VALUE n)")
+def signal_monthly_long(spark: SparkSession, sf: str) -> DataFrame:
+    return _monthly(spark, sf)[0].unpivot(["product_code", "month"], list(signals.CATEGORIES.values()), "category", "n")
+
+
+@query(_IND + " SELECT count(*) AS report_cohort_rows, count(*) FILTER (date_received IS NULL) AS undated_rows, min(date_received) AS earliest, max(date_received) AS latest FROM ind")
+def signal_corpus_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return signals.summary(_indicators(spark, sf))
+
+
+@query(_BOUNDS + " SELECT * FROM b")
+def signal_window_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    return _monthly(spark, sf)[1]
+
+
+@query(_GRID + " SELECT * FROM grid")
+def signal_zero_filled_grid(spark: SparkSession, sf: str) -> DataFrame:
+    return signals.zero_filled(*_monthly(spark, sf)).select("product_code", "month", "report_count", "recent")
+
+
+@query(_BOUNDS + " SELECT month FROM months WHERE month NOT IN (SELECT month FROM monthly WHERE product_code = 'PROMO' AND report_count % 2 = 0)")
+def signal_missing_months(spark: SparkSession, sf: str) -> DataFrame:
+    monthly, bounds = _monthly(spark, sf)
+    return signals.missing_months(monthly.where("product_code = 'PROMO' AND report_count % 2 = 0"), bounds)
+
+
+@query(_GRID + """, m AS (SELECT product_code, median(report_count) FILTER (NOT recent) AS med, coalesce(sum(report_count) FILTER (recent), 0)::BIGINT AS total FROM grid GROUP BY ALL),
+d AS (SELECT g.product_code, median(abs(report_count - med)) AS mad FROM grid g JOIN m ON m.product_code IS NOT DISTINCT FROM g.product_code WHERE NOT recent GROUP BY ALL),
+z AS (SELECT m.product_code, med, mad, total, total / 3.0::DOUBLE AS average, total - 3 * med AS extra FROM m JOIN d ON m.product_code IS NOT DISTINCT FROM d.product_code),
+y AS (SELECT *, (average - med) / greatest(1.4826::DOUBLE * mad, 1.0::DOUBLE) AS score FROM z)
+SELECT product_code, baseline_window_start, (recent_window_start - INTERVAL 1 MONTH)::DATE AS baseline_window_end, recent_window_start, latest_complete_month AS recent_window_end,
+  med AS baseline_median_monthly_reports, mad AS baseline_mad_monthly_reports, total AS recent_total_reports, round(average, 6) AS recent_average_monthly_reports,
+  extra AS additional_reports_vs_baseline, round(score, 6) AS robust_z_score, extra >= 5 AS minimum_count_increase_met, score >= 3 AND extra >= 5 AS report_volume_change_flag
+FROM y, b""")
+def signal_volume_change(spark: SparkSession, sf: str) -> DataFrame:
+    made = signals.volume_change(*_monthly(spark, sf))
+    return made.withColumns({c: F.round(c, 6) for c in ("recent_average_monthly_reports", "robust_z_score")})
+
+
+# ---------------------------------------------------------------- normalization
+
+_PARSED = "coalesce(try_strptime(trim(date_text), '%m/%d/%Y'), try_strptime(trim(date_text), '%Y/%m/%d'))::DATE"
+
+
+def _bronze(spark: SparkSession, sf: str) -> DataFrame:
+    rows = W.projected(spark, sf, W.STRINGS)
+    return rows.select(F.col("report_key").alias("MDR REPORT KEY"), F.col("note").alias("Event-Type"), F.col("date_text").alias("DATE_RECEIVED"), F.lit("7").alias("_source_line_number"))
+
+
+_SILVER = W.oracle("w_strings") + f""", v AS (
+SELECT report_key AS mdr_report_key, CASE WHEN trim(note) = '' THEN NULL ELSE note END AS event_type, CASE WHEN trim(date_text) = '' THEN NULL ELSE date_text END AS date_received_raw, {_PARSED} AS date_received FROM w_strings),
+silver AS (SELECT *, '7' AS _source_line_number, 'snapshot-1' AS dataset_snapshot_id,
+  sha256(concat_ws('|', {", ".join(f"CASE WHEN {c} IS NULL THEN '<NULL>' ELSE 'V' || length({c}::VARCHAR) || ':' || {c}::VARCHAR END" for c in ("mdr_report_key", "event_type", "date_received_raw", "date_received"))})) AS record_content_hash FROM v)"""
+
+
+@query(_SILVER + " SELECT * FROM silver")
+def normalize_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    return normalize.normalize_bronze(_bronze(spark, sf), C.FAMILIES["master"], "snapshot-1")
+
+
+@query(_SILVER + " SELECT mdr_report_key, event_type FROM silver")
+def normalize_blank_to_null(spark: SparkSession, sf: str) -> DataFrame:
+    return W.projected(spark, sf, W.STRINGS).select(F.col("report_key").alias("mdr_report_key"), S.blank_to_null("note").alias("event_type"))
+
+
+@query(_SILVER + " SELECT mdr_report_key, date_received_raw, date_received FROM silver")
+def normalize_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return normalize_bronze(spark, sf).select("mdr_report_key", "date_received_raw", "date_received")
+
+
+@query(W.oracle("w_strings") + f" SELECT report_key, coalesce(try_strptime(trim(date_text), '%Y-%m-%d')::DATE, {_PARSED}) AS day FROM w_strings")
+def document_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return W.projected(spark, sf, W.STRINGS).select("report_key", S.parsed_date("date_text", "yyyy-M-d").alias("day"))
+
+
+@query(W.oracle("w_roles") + " SELECT row_no, sha256(concat_ws('|', 'V' || length(report_key) || ':' || report_key, 'V' || length(sequence_no) || ':' || sequence_no, 'V' || length(payload) || ':' || payload)) AS content FROM w_roles")
+def normalize_content_hash(spark: SparkSession, sf: str) -> DataFrame:
+    return W.projected(spark, sf, W.ROLES).select("row_no", S.content_hash([F.col(c) for c in ("report_key", "sequence_no", "payload")]).alias("content"))
+
+
+@query(_SILVER + " SELECT count(*) FILTER (date_received_raw IS NOT NULL AND date_received IS NULL) AS failed FROM silver")
+def normalize_date_failures(spark: SparkSession, sf: str) -> DataFrame:
+    return normalize_bronze(spark, sf).agg(normalize.failed_dates(normalize_bronze(spark, sf), C.FAMILIES["master"].dates).alias("failed"))
+
+
+# ---------------------------------------------------------------- reconciliation
+
+_KEYS = ["report_key", "sequence_no"]
+_ROLED = W.oracle("w_roles") + """, roled AS (SELECT *, CASE WHEN ends_with(stem, 'change') THEN 'change' WHEN ends_with(stem, 'add') THEN 'add' ELSE 'base' END AS _source_role, sha256(payload) AS record_content_hash
+FROM (SELECT *, regexp_replace(lower(_source_filename), '\\.[^.]*$', '') AS stem FROM w_roles)),
+ks AS (SELECT _source_role, report_key, sequence_no, count(*) AS row_count, count(DISTINCT record_content_hash) AS hash_count, min(row_no) AS first_row FROM roled GROUP BY ALL),
+cand AS (SELECT r.*, CASE _source_role WHEN 'base' THEN 0 WHEN 'add' THEN 1 ELSE 2 END AS p FROM roled r JOIN ks USING (_source_role, report_key, sequence_no)
+  WHERE hash_count = 1 AND row_no = first_row QUALIFY row_number() OVER (PARTITION BY _source_role, report_key, sequence_no ORDER BY row_no) = 1),
+best AS (SELECT *, lag(p) OVER w AS lower_p, lag(record_content_hash) OVER w AS lower_hash, lead(p) OVER w AS higher_p FROM cand WINDOW w AS (PARTITION BY report_key, sequence_no ORDER BY p))"""
+
+
+def _roled(spark: SparkSession, sf: str) -> DataFrame:
+    return W.projected(spark, sf, W.ROLES).withColumn("_source_role", S.role_of("_source_filename")).withColumn("record_content_hash", F.sha2("payload", 256))
+
+
+@query(_ROLED + " SELECT _source_filename, _source_role, p AS priority, count(*) AS n FROM (SELECT *, CASE _source_role WHEN 'base' THEN 0 WHEN 'add' THEN 1 ELSE 2 END AS p FROM roled) GROUP BY ALL")
+def role_assignment(spark: SparkSession, sf: str) -> DataFrame:
+    return _roled(spark, sf).groupBy("_source_filename", "_source_role", S.priority("_source_role").alias("priority")).agg(F.count("*").alias("n"))
+
+
+@query(_ROLED + " SELECT * FROM ks")
+def reconcile_key_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile.key_stats(_roled(spark, sf), _KEYS, order="row_no")
+
+
+@query(_ROLED + " SELECT report_key, sequence_no, payload, _source_filename, _source_role, record_content_hash, p AS selected_priority FROM best WHERE higher_p IS NULL")
+def reconcile_selected(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile.selected(_roled(spark, sf), _KEYS, order="row_no")
+
+
+@query(_ROLED + " SELECT r.report_key, r.sequence_no, payload, _source_filename, r._source_role, record_content_hash, 'conflicting_duplicate' AS _conflict_reason FROM roled r JOIN ks USING (_source_role, report_key, sequence_no) WHERE hash_count > 1")
+def reconcile_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile.conflicts(_roled(spark, sf), _KEYS, order="row_no")
+
+
+_STATS = _ROLED + """, st AS (SELECT * FROM (
+SELECT _source_role, sum(CASE WHEN hash_count = 1 THEN row_count - 1 ELSE 0 END)::BIGINT AS collapsed, count_if(hash_count > 1)::BIGINT AS quarantined_keys, sum(CASE WHEN hash_count > 1 THEN row_count ELSE 0 END)::BIGINT AS quarantined_rows FROM ks GROUP BY ALL)
+LEFT JOIN (SELECT _source_role, count_if(lower_p IS NULL)::BIGINT AS inserted, count_if(lower_p IS NOT NULL AND record_content_hash <> lower_hash)::BIGINT AS updated,
+  count_if(lower_p IS NOT NULL AND record_content_hash = lower_hash)::BIGINT AS unchanged, count_if(higher_p IS NOT NULL)::BIGINT AS superseded FROM best GROUP BY ALL) USING (_source_role))"""
+
+
+@query(_STATS + " SELECT * FROM st")
+def reconcile_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile.stats(_roled(spark, sf), _KEYS, order="row_no")
+
+
+@query(_STATS + " SELECT sum(inserted + updated + unchanged - superseded)::BIGINT AS selected_rows FROM st")
+def reconcile_selected_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile.selected_rows(reconcile_stats(spark, sf))
+
+
+@query(_ROLED + " SELECT report_key, sequence_no, max(CASE _source_role WHEN 'base' THEN 0 WHEN 'add' THEN 1 ELSE 2 END) AS selected_priority FROM roled GROUP BY ALL")
+def reconcile_key_priority(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile.key_priority(_roled(spark, sf), _KEYS)
+
+
+@query("SELECT c_custkey AS key, c_name AS name, c_mktsegment AS segment, NULL::DOUBLE AS balance FROM customer UNION ALL BY NAME SELECT s_suppkey AS key, s_acctbal AS balance, s_name AS name FROM supplier")
+def union_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    c = W.table(spark, sf, "customer").selectExpr("c_custkey AS key", "c_name AS name", "c_mktsegment AS segment")
+    s = W.table(spark, sf, "supplier").selectExpr("s_suppkey AS key", "s_acctbal AS balance", "s_name AS name")
+    return c.unionByName(s, allowMissingColumns=True)
+
+
+@query("SELECT o_orderkey, count(DISTINCT source) AS sources FROM (SELECT 'a' AS source, o_orderkey FROM orders WHERE o_orderkey % 3 < 2 UNION ALL SELECT 'b', o_orderkey FROM orders WHERE o_orderkey % 3 > 0) GROUP BY 1 HAVING count(DISTINCT source) > 1")
+def key_overlap_probe(spark: SparkSession, sf: str) -> DataFrame:
+    orders = W.table(spark, sf, "orders").select("o_orderkey")
+    return documents.overlapping_keys({"a": orders.where("o_orderkey % 3 < 2"), "b": orders.where("o_orderkey % 3 > 0")}, "o_orderkey")
+
+
+# ---------------------------------------------------------------- quality
+
+
+def _graded(check: str, counts: str, limit: str, none: str, some: str, many: str) -> str:
+    return f"""SELECT '{check}' AS "check", CASE WHEN n = 0 OR n / d::DOUBLE <= {limit} THEN 'warning' ELSE 'blocking' END AS level, n = 0 AS passed,
+CASE WHEN n = 0 THEN '{none}' WHEN n / d::DOUBLE <= {limit} THEN '{some}' ELSE '{many}' END AS message, n::DOUBLE AS numerator, d::DOUBLE AS denominator, {limit}::DOUBLE AS threshold, CASE WHEN d = 0 THEN 0 ELSE round(n / d::DOUBLE, 6) END AS observed FROM ({counts})"""
+
+
+def _blocking(check: str, counts: str, passed: str, good: str, bad: str, threshold: str, observed: str, level: str = "blocking") -> str:
+    return f"""SELECT '{check}' AS "check", '{level}' AS level, {passed} AS passed, CASE WHEN {passed} THEN '{good}' ELSE {bad} END AS message, n::DOUBLE AS numerator, d::DOUBLE AS denominator, {threshold}::DOUBLE AS threshold, round({observed}, 6)::DOUBLE AS observed FROM ({counts})"""
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumn("observed", F.round("observed", 6))
+
+
+_LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents"
+_JUDGED = f"(SELECT count(*) AS seen, count_if(len(string_split(line, '.')) <> 2) AS rejected FROM ({_LINES}))"
+_UNIQUE = _blocking("business_key_uniqueness", "SELECT count(*) AS d, count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS n FROM lineitem", "n = 0", "business keys are unique", "'found ' || n || ' duplicate business key rows'", "0", "n / d::DOUBLE")
+_ORPHANS = _graded("orphan_fraction", "SELECT count_if(o.k IS NULL) AS n, count(*) AS d FROM lineitem LEFT JOIN (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderkey % 200 <> 0) o ON o.k = l_orderkey", "0.01", "no orphan keys found", "some child rows have no report", "the share of orphan rows exceeds the limit")
+_CONSERVED = _blocking("row_conservation", f"SELECT seen AS d, seen AS n FROM {_JUDGED}", "n = d", "all source rows are accounted for", "''", "d", "n")
+_REJECTED = _graded("reject_fraction", f"SELECT seen AS d, rejected AS n FROM {_JUDGED}", "0.005", "no rows were rejected", "some source rows were rejected", "the share of rejected rows exceeds the limit")
+_DRIFT = _blocking("row_count_drift", "SELECT (SELECT count(*) FROM orders WHERE o_orderkey % 10 <> 3) AS n, (SELECT count(*) FROM orders) AS d", "n >= d * 0.9", "row count is within tolerance", "'row count has fallen below tolerance'", "0.9", "n / d::DOUBLE")
+_TRUNCATED = _blocking("truncation_comparison", "SELECT sum(length(text) - length(replace(text, chr(10), ''))) FILTER (doc_id % 8 > 0)::BIGINT AS n, sum(length(text) - length(replace(text, chr(10), '')))::BIGINT AS d FROM documents", "n >= d * 0.9", "the converted text has the lines of the archive", "'the converted text looks truncated'", "0.9", "n / d::DOUBLE")
+
+
+def _judged(spark: SparkSession, sf: str) -> DataFrame:
+    """Document lines as rows of a source whose two fields a full stop divides."""
+    rows = W.table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("raw")).withColumn("fields", F.split("raw", "[.]", -1))
+    return rows.withColumn("reason", F.when(F.size("fields") != 2, "field_count"))
+
+
+@query(_UNIQUE)
+def quality_uniqueness(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(quality.uniqueness(W.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]))
+
+
+def _children(spark: SparkSession, sf: str) -> DataFrame:
+    children = W.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("mdr_report_key"))
+    return quality.orphans(children, W.table(spark, sf, "orders").where("o_orderkey % 200 <> 0").select(F.col("o_orderkey").alias("mdr_report_key")))
+
+
+@query(_ORPHANS)
+def quality_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(_children(spark, sf))
+
+
+@query(_CONSERVED)
+def quality_conservation(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(quality.row_conservation(pipe.parse_counts(_judged(spark, sf))))
+
+
+@query(_REJECTED)
+def quality_reject_fraction(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(quality.reject_fraction(pipe.parse_counts(_judged(spark, sf))))
+
+
+@query(_DRIFT)
+def quality_drift(spark: SparkSession, sf: str) -> DataFrame:
+    orders = W.table(spark, sf, "orders")
+    return _rounded(quality.drift(orders.where("o_orderkey % 10 <> 3"), orders))
+
+
+@query(_TRUNCATED)
+def newline_truncation(spark: SparkSession, sf: str) -> DataFrame:
+    docs = W.table(spark, sf, "documents").select("doc_id", F.col("text").alias("value"))
+    return _rounded(quality.truncation(docs, docs.where("doc_id % 8 > 0")))
+
+
+def _report(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.report({
+        "all": quality.required_tables(spark, ["master", "device", "narrative"]), "documents|1": quality_conservation(spark, sf), "documents|2": quality_reject_fraction(spark, sf),
+        "lineitem|1": quality_uniqueness(spark, sf), "orders|1": quality_drift(spark, sf), "lineitem|2": quality_orphans(spark, sf)})
+
+
+_REQUIRED = "SELECT 'required_table_set' AS \"check\", 'blocking' AS level, false AS passed, 'missing required tables: patient' AS message, 3::DOUBLE AS numerator, 4::DOUBLE AS denominator, 4::DOUBLE AS threshold, 3::DOUBLE AS observed"
+_REPORT = " UNION ALL ".join(f"SELECT {i} AS position, '{t}' AS \"table\", * FROM ({s})" for i, (t, s) in enumerate((("all", _REQUIRED), ("documents", _CONSERVED), ("documents", _REJECTED), ("lineitem", _UNIQUE), ("orders", _DRIFT), ("lineitem", _ORPHANS))))
+
+
+@query(_REPORT)
+def quality_report(spark: SparkSession, sf: str) -> DataFrame:
+    return _report(spark, sf)
+
+
+@query(f"SELECT count(*) AS checks, count_if(NOT passed AND level = 'blocking')::BIGINT AS blocking, count_if(NOT passed AND level = 'warning')::BIGINT AS warnings, count_if(NOT passed AND level = 'blocking') = 0 AS promotable FROM ({_REPORT})")
+def quality_gate(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.gate(_report(spark, sf))
+
+
+@query(W.oracle("w_strings") + " SELECT count(*) AS rows, count_if(note IS NULL)::BIGINT AS nulls, count_if(trim(note) = '')::BIGINT AS blanks, min(note) AS least, max(note) AS greatest FROM w_strings")
+def provenance_check(spark: SparkSession, sf: str) -> DataFrame:
+    return documents.provenance(W.projected(spark, sf, W.STRINGS), "note")
+
+
+# ---------------------------------------------------------------- documents
+
+_LIST = "array_to_string(list_sort(list_distinct(list({0}) FILTER ({0} IS NOT NULL AND trim({0}) <> ''))), '|')"
+_META = f"SELECT mdr_report_key AS report_id, {_LIST.format('device_report_product_code')} AS product_codes, {_LIST.format('brand_name')} AS brand_names, {_LIST.format('manufacturer_d_name')} AS manufacturers FROM w_devices GROUP BY 1"
+_EVIDENCE = "SELECT mdr_report_key, mdr_text_key, text_type_code, foi_text, _source_filename, _source_line_number FROM w_narratives QUALIFY row_number() OVER (PARTITION BY mdr_report_key, mdr_text_key ORDER BY _source_filename, TRY_CAST(_source_line_number AS BIGINT), _source_line_number, text_type_code, foi_text) = 1"
+_DOCS = W.oracle("w_reports", "w_devices", "w_narratives") + f""", meta AS ({_META}), evidence AS ({_EVIDENCE}),
+rd AS (SELECT r.mdr_report_key AS report_id, event_type AS reported_event_type, date_received, coalesce(product_codes, '') AS product_codes, coalesce(brand_names, '') AS brand_names, coalesce(manufacturers, '') AS manufacturers,
+  r.dataset_snapshot_id, mdr_text_key, text_type_code, foi_text, _source_filename, _source_line_number FROM w_reports r LEFT JOIN meta ON meta.report_id = r.mdr_report_key LEFT JOIN evidence e ON e.mdr_report_key = r.mdr_report_key)"""
+_CLEAN = "trim(regexp_replace(nfc_normalize({}), '[\\p{{Cc}}\\p{{Z}}]+', ' ', 'g'))"
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.array_join(c, "|") for c in ("product_codes", "brand_names", "manufacturers")})
+
+
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    return documents.report_documents(*(W.projected(spark, sf, p) for p in (W.REPORTS, W.DEVICES, W.NARRATIVES)))
+
+
+@query(W.oracle("w_devices") + " " + _META)
+def device_metadata_lists(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat(documents.device_metadata(W.projected(spark, sf, W.DEVICES)).withColumnRenamed("_device_report", "report_id"))
+
+
+@query(W.oracle("w_narratives") + " " + _EVIDENCE)
+def narrative_evidence_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return documents.narrative_evidence(W.projected(spark, sf, W.NARRATIVES))
+
+
+@query(_DOCS + " SELECT * FROM rd")
+def report_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat(_documents(spark, sf))
+
+
+@query(_DOCS + " SELECT * FROM rd WHERE report_id = '12'")
+def report_document_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat(documents.lookup(_documents(spark, sf), "12"))
+
+
+_NESTED = _DOCS + f""", nested AS (SELECT report_id, list(struct_pack(k := coalesce(TRY_CAST(mdr_text_key AS BIGINT), -9223372036854775808), t := mdr_text_key, x := foi_text, c := {_CLEAN.format('foi_text')}) ORDER BY TRY_CAST(mdr_text_key AS BIGINT) NULLS FIRST, mdr_text_key) FILTER (mdr_text_key IS NOT NULL) AS n FROM rd GROUP BY 1)"""
+
+
+@query(_NESTED + " SELECT report_id, coalesce(array_to_string(list_transform(n, lambda e: 'narrative:' || e.t), ','), '') AS evidence, coalesce(len(n), 0)::INT AS narratives FROM nested")
+def report_documents_nested(spark: SparkSession, sf: str) -> DataFrame:
+    made = documents.nested(_documents(spark, sf))
+    return made.select("report_id", F.array_join(F.transform("narratives", lambda n: n["evidence_id"]), ",").alias("evidence"), F.size("narratives").alias("narratives"))
+
+
+@query(_NESTED + " SELECT report_id, array_to_string(list_transform(list_filter(n, lambda e: e.c <> ''), lambda e: e.c), chr(10) || chr(10)) AS modeling_text FROM nested WHERE len(list_filter(n, lambda e: e.c <> '')) > 0")
+def report_modeling_text(spark: SparkSession, sf: str) -> DataFrame:
+    return documents.modeling_documents(documents.nested(_documents(spark, sf))).select("report_id", "modeling_text")
+
+
+@query(_DOCS + f""", per AS (SELECT report_id, count_if(mdr_text_key IS NOT NULL AND coalesce({_CLEAN.format('foi_text')}, '') <> '') AS kept, count_if(mdr_text_key IS NOT NULL AND coalesce({_CLEAN.format('foi_text')}, '') = '') AS blank FROM rd GROUP BY 1)
+SELECT count(*) AS reports_seen, count_if(kept > 0)::BIGINT AS documents_written, sum(kept)::BIGINT AS narratives_written, sum(blank)::BIGINT AS blank_omitted FROM per""")
+def blank_narrative_omission(spark: SparkSession, sf: str) -> DataFrame:
+    return documents.corpus_counts(_documents(spark, sf))
+
+
+@query("SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def duplicate_report_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return documents.repeated_keys(W.table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber")
+
+
+@query(f"SELECT doc_id, {_CLEAN.format('text')} AS clean_text FROM documents")
+def clean_narrative(spark: SparkSession, sf: str) -> DataFrame:
+    return W.table(spark, sf, "documents").select("doc_id", S.clean("text").alias("clean_text"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS report_id FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 2 = 1")
+def research_corpus_union(spark: SparkSession, sf: str) -> DataFrame:
+    keys = W.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("report_id"))
+    return documents.research_corpus({"even": keys.where("report_id % 2 = 0"), "odd": keys.where("report_id % 2 = 1")})
+
+
+# ---------------------------------------------------------------- splits and duplicates
+
+_SPLIT = "CASE WHEN received <= DATE '2024-12-31' THEN 'train' WHEN received <= DATE '2025-12-31' THEN 'validation' WHEN received IS NOT NULL THEN 'test' END"
+_NARR = W.oracle("w_dated") + f""", narr AS (SELECT doc_id AS narrative_id, report_id, {_SPLIT} AS split, norm, sha256(norm) AS text_hash
+FROM (SELECT *, trim(regexp_replace(lower(text), '[\\p{{Cc}}\\p{{Z}}]+', ' ', 'g')) AS norm FROM w_dated))"""
+_GROUPS = _NARR + """, eg AS (SELECT text_hash, count(*) AS narratives, count(DISTINCT report_id) AS reports, count_if(split = 'train')::BIGINT AS n_train, count_if(split = 'validation')::BIGINT AS n_validation,
+count_if(split = 'test')::BIGINT AS n_test, count_if(split IS NULL)::BIGINT AS n_undated, count(DISTINCT split) > 1 AS crosses_splits FROM narr GROUP BY 1 HAVING count(DISTINCT report_id) > 1)"""
+_GRAMS = _NARR + """, words AS (SELECT *, regexp_extract_all(norm, '[\\p{L}\\p{N}_]+') AS w FROM narr WHERE split IS NOT NULL),
+grams AS (SELECT * EXCLUDE (w, norm), CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) ELSE [] END AS g FROM words),
+post AS (SELECT narrative_id, report_id, split, text_hash, len(g)::INT AS n, unnest(g) AS token FROM grams)"""
+_PLACED = _GRAMS + """, freq AS (SELECT token, count(*) AS df FROM post WHERE split <> 'test' GROUP BY 1),
+placed AS (SELECT post.*, coalesce(df, 0) AS df, (row_number() OVER (PARTITION BY narrative_id ORDER BY coalesce(df, 0), token) - 1)::INT AS pos FROM post LEFT JOIN freq USING (token))"""
+_CANDIDATES = _PLACED + """, prefix AS (SELECT * FROM placed WHERE pos < n - (4 * n + 4) // 5 + 1),
+cand AS (SELECT t.narrative_id AS target, p.narrative_id AS prior, t.n AS t_n, p.n AS p_n, max(least(t.pos, p.pos) + 1 + least(t.n - t.pos - 1, p.n - p.pos - 1)) AS bound
+FROM prefix t JOIN prefix p ON t.token = p.token AND t.split <> 'train' AND p.split <> 'test' AND (p.split = 'train' OR t.split = 'test') AND t.report_id <> p.report_id AND t.text_hash <> p.text_hash AND 4 * t.n <= 5 * p.n AND 4 * p.n <= 5 * t.n
+GROUP BY ALL HAVING bound * 9 >= 4 * (t.n + p.n))"""
+_NEAR = _GRAMS + """, met AS (SELECT t.narrative_id AS target, p.narrative_id AS prior, t.n AS target_size, p.n AS prior_size, count(*)::INT AS overlap FROM post t JOIN post p ON t.token = p.token
+AND t.split <> 'train' AND p.split <> 'test' AND (p.split = 'train' OR t.split = 'test') AND t.report_id <> p.report_id AND t.text_hash <> p.text_hash GROUP BY ALL)
+SELECT *, round(overlap / (target_size + prior_size - overlap)::DOUBLE, 6) AS similarity FROM met WHERE 9 * overlap >= 4 * (target_size + prior_size)"""
+
+
+def _narratives(spark: SparkSession, sf: str) -> DataFrame:
+    return duplicates.narratives(W.projected(spark, sf, W.DATED), "doc_id", "report_id", "text", "received", folded=False)
+
+
+@query(W.oracle("w_dated") + f" SELECT doc_id, received, {_SPLIT} AS split FROM w_dated")
+def temporal_split(spark: SparkSession, sf: str) -> DataFrame:
+    return W.projected(spark, sf, W.DATED).select("doc_id", "received", S.split_of("received").alias("split"))
+
+
+@query(W.oracle("w_dated") + f" SELECT coalesce({_SPLIT}, 'undated') AS split, count(*) AS documents FROM w_dated GROUP BY 1")
+def temporal_split_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return temporal_split(spark, sf).groupBy(F.coalesce("split", F.lit("undated")).alias("split")).agg(F.count("*").alias("documents"))
+
+
+@query(_NARR + " SELECT narrative_id, report_id, split, text_hash FROM narr")
+def exact_text_hash(spark: SparkSession, sf: str) -> DataFrame:
+    return _narratives(spark, sf).drop("norm")
+
+
+@query(_GROUPS + " SELECT * FROM eg")
+def exact_duplicate_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return duplicates.exact_groups(_narratives(spark, sf))
+
+
+@query(_GROUPS + " SELECT text_hash, narrative_id, report_id, split FROM narr WHERE text_hash IN (SELECT text_hash FROM eg)")
+def exact_duplicate_members(spark: SparkSession, sf: str) -> DataFrame:
+    return duplicates.exact_members(_narratives(spark, sf))
+
+
+@query(_NARR + " SELECT report_id, count(DISTINCT split) AS splits, count(*) AS narratives, count_if(split = 'train')::BIGINT AS n_train, count_if(split = 'validation')::BIGINT AS n_validation, count_if(split = 'test')::BIGINT AS n_test, count_if(split IS NULL)::BIGINT AS n_undated FROM narr GROUP BY 1 HAVING count(DISTINCT split) > 1")
+def report_key_overlaps(spark: SparkSession, sf: str) -> DataFrame:
+    return duplicates.key_overlaps(_narratives(spark, sf))
+
+
+@query(_GRAMS + " SELECT narrative_id, len(g)::INT AS n, sha256(array_to_string(list_sort(g), '|')) AS grams_sha256 FROM grams")
+def word_trigrams(spark: SparkSession, sf: str) -> DataFrame:
+    made = _narratives(spark, sf).where("split IS NOT NULL").select("narrative_id", S.trigrams(S.tokens("norm")).alias("g"))
+    return made.select("narrative_id", F.size("g").alias("n"), F.sha2(F.array_join(F.array_sort("g"), "|"), 256).alias("grams_sha256"))
+
+
+@query(_PLACED + " SELECT token, df FROM freq")
+def trigram_document_frequency(spark: SparkSession, sf: str) -> DataFrame:
+    return duplicates.document_frequency(duplicates.postings(_narratives(spark, sf)))
+
+
+@query(_PLACED + " SELECT narrative_id, token, df, pos, n FROM placed")
+def token_positions(spark: SparkSession, sf: str) -> DataFrame:
+    return duplicates.positions(duplicates.postings(_narratives(spark, sf))).select("narrative_id", "token", "df", "pos", "n")
+
+
+@query(_CANDIDATES + " SELECT * FROM cand")
+def prefix_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    return duplicates.prefix_candidates(duplicates.positions(duplicates.postings(_narratives(spark, sf))))
+
+
+@query(_NEAR)
+def near_duplicate_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return duplicates.near_pairs(_narratives(spark, sf))
+
+
+# ---------------------------------------------------------------- text features
+
+_SAMPLE = 40
+_TRAIN = _NARR + f""", sample AS (SELECT CAST(narrative_id AS VARCHAR) AS report_id, text FROM narr JOIN documents ON doc_id = narrative_id WHERE split = 'train' ORDER BY sha256(CAST(narrative_id AS VARCHAR)), 1 LIMIT {_SAMPLE})"""
+_WORDS = "list_filter(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+'), lambda x: length(x) >= 2)"
+_TERMS = """, toks AS (SELECT report_id, {words} AS w FROM {rows}), terms AS (SELECT report_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM toks), cnt AS (SELECT report_id, term, count(*) AS tf FROM terms GROUP BY ALL)"""
+_VOCAB = f""", vocab AS (SELECT term, count(*) AS df, sum(tf)::BIGINT AS total, ln((1.0 + {_SAMPLE}) / (1.0 + count(*))) + 1 AS idf FROM cnt GROUP BY 1 HAVING count(*) >= 2 AND count(*) <= 0.98 * {_SAMPLE} ORDER BY total DESC, term LIMIT 2000)"""
+_CHARS = """, wd AS (SELECT report_id, ' ' || unnest(string_split(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ')) || ' ' AS p FROM sample),
+terms AS (SELECT report_id, unnest(list_transform(range(1, greatest(length(p) - 1, 2)), lambda i: substr(p, i, 3))) AS term FROM wd
+UNION ALL SELECT report_id, unnest(list_transform(range(1, length(p) - 2), lambda i: substr(p, i, 4))) FROM wd WHERE length(p) >= 4 UNION ALL SELECT report_id, unnest(list_transform(range(1, length(p) - 3), lambda i: substr(p, i, 5))) FROM wd WHERE length(p) >= 5),
+cnt AS (SELECT report_id, term, count(*) AS tf FROM terms GROUP BY ALL)"""
+
+
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    return W.projected(spark, sf, W.DATED).select(F.col("doc_id").cast("string").alias("report_id"), "text", S.split_of("received").alias("split"))
+
+
+@query(_TRAIN + " SELECT report_id FROM sample")
+def training_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return tfidf.training_sample(_texts(spark, sf), _SAMPLE).select("report_id")
+
+
+@query(_TRAIN + " SELECT count(*) AS documents, sha256(string_agg(report_id, chr(10) ORDER BY report_id)) AS digest FROM sample")
+def training_sample_digest(spark: SparkSession, sf: str) -> DataFrame:
+    return tfidf.sample_digest(training_sample(spark, sf))
+
+
+def _vocabulary(spark: SparkSession, sf: str, terms: Callable) -> DataFrame:
+    counts = tfidf.term_counts(tfidf.training_sample(_texts(spark, sf), _SAMPLE), terms(F.col("text")))
+    return tfidf.vocabulary(counts, _SAMPLE, 2000)
+
+
+@query(_TRAIN + _TERMS.format(words=_WORDS, rows="sample") + _VOCAB + " SELECT term, df, total, round(idf, 6) AS idf FROM vocab")
+def tfidf_word_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    return _vocabulary(spark, sf, tfidf.word_terms).withColumn("idf", F.round("idf", 6))
+
+
+@query(_TRAIN + _CHARS + _VOCAB + " SELECT term, df, total, round(idf, 6) AS idf FROM vocab")
+def tfidf_char_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    return _vocabulary(spark, sf, tfidf.char_terms).withColumn("idf", F.round("idf", 6))
+
+
+@query(_TRAIN + _TERMS.format(words=_WORDS, rows="sample") + _VOCAB + _TERMS.format(words=_WORDS, rows="dated").replace("toks", "toks2").replace("terms", "terms2").replace("cnt", "cnt2").replace(", toks2 AS", ", dated AS (SELECT CAST(narrative_id AS VARCHAR) AS report_id, text FROM narr JOIN documents ON doc_id = narrative_id WHERE split IS NOT NULL), toks2 AS", 1)
+       + ", raw AS (SELECT report_id, term, (1 + ln(tf)) * idf AS r FROM cnt2 JOIN vocab USING (term)) SELECT report_id, term, round(r / sqrt(sum(r * r) OVER (PARTITION BY report_id)), 6) AS weight FROM raw")
+def tfidf_word_weights(spark: SparkSession, sf: str) -> DataFrame:
+    texts = _texts(spark, sf)
+    made = tfidf.weights(tfidf.term_counts(texts.where("split IS NOT NULL"), tfidf.word_terms(F.col("text"))), _vocabulary(spark, sf, tfidf.word_terms))
+    return made.withColumn("weight", F.round("weight", 6))
+
+
+# ---------------------------------------------------------------- catalogs, sorting
+
+_LINKS = "links AS (SELECT page_id, unnest(h) AS href, unnest(range(0, len(h)))::INT AS position FROM (SELECT page_id, regexp_extract_all(html, '(?i)href\\s*=\\s*[\"'']([^\"''<>\\s]*)[\"'']', 1) AS h FROM pages))"
+
+
+@query(f"WITH {_LINKS} SELECT page_id, position, href FROM links")
+def catalog_links(spark: SparkSession, sf: str) -> DataFrame:
+    return catalog.page_links(W.table(spark, sf, "pages"))
+
+
+@query("SELECT page_id, url, coalesce(regexp_full_match(url, 'https://[^/?#@:]+(/[^?#]*)?') AND regexp_extract(url, '^https://([^/?#]*)', 1) = 'example.com', false) AS trusted FROM pages")
+def trusted_urls(spark: SparkSession, sf: str) -> DataFrame:
+    return W.table(spark, sf, "pages").select("page_id", "url", catalog.trusted_column(F.col("url"), "example.com").alias("trusted"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS report_id FROM orders ORDER BY sha256(CAST(o_orderkey AS VARCHAR)), 1 LIMIT 50")
+def topk_reports_by_hash(spark: SparkSession, sf: str) -> DataFrame:
+    keys = W.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("report_id"), F.lit("train").alias("split"))
+    return tfidf.training_sample(keys, 50).select("report_id")
+
+
+@query("SELECT note, report_key FROM (" + W.STRINGS + ") ORDER BY TRY_CAST(report_key AS BIGINT) NULLS FIRST, report_key LIMIT 100")
+def sorted_output_limit(spark: SparkSession, sf: str) -> DataFrame:
+    rows = W.projected(spark, sf, W.STRINGS).select("note", "report_key")
+    return rows.orderBy(F.col("report_key").try_cast("long").asc_nulls_first(), F.col("report_key").asc_nulls_first()).limit(100)
