@@ -21,7 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words remembered by a worker, characters of text taken together, and words of a text taken together.
-REMEMBERED, TOGETHER, SLICE = 400_000, 2_000_000, 200_000
+REMEMBERED, TOGETHER, SLICE = 600_000, 8_000_000, 200_000
+#: Blocks of ranks at most, pairs for each of them at least, and characters beyond which a word is replayed alone.
+BLOCKS, STEP, LONG = 64, 8_000, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -30,89 +32,172 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions of runs laid end to end."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
 class Replay:
-    """Encodes and decodes words by one vocabulary."""
+    """Encodes and decodes words by one vocabulary.
+
+    The index keeps positions by blocks of neighbouring ranks rather than by single ranks, so that a step handles thousands
+    of merges at once: blocks come up in rank order, and while one is worked off each word applies its lowest rank first, the
+    leftmost of equal ones, one at a time. New pairs of the block or of an earlier rank join it at once. Every word thus sees
+    its merges in the order of their ranks.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks, self.width = ranks, max(ranks.values()) + 1
-        self.token = {i: t for t, i in ranks.items()}
         self.find = regex.compile(pattern)
+        tokens = sorted(ranks, key=ranks.__getitem__)
+        size = np.zeros(self.width, np.int64)
+        size[[ranks[t] for t in tokens]] = [len(t) for t in tokens]
+        self.size, self.start, self.raw = size, np.cumsum(size) - size, np.frombuffer(b"".join(tokens), np.uint8)
         #: Rank of the token that two adjacent tokens make: first token times ``width`` plus the second.
         self.joined = {a * self.width + b: r for t, r in ranks.items() for i in range(1, len(t)) if (a := ranks.get(t[:i])) is not None and (b := ranks.get(t[i:])) is not None}
-        self.byte = [ranks[bytes([i])] for i in range(256)]
-        self.first = np.array([[self.joined.get(a * self.width + b, -1) for b in self.byte] for a in self.byte], np.int64)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.pairs = np.fromiter(sorted(self.joined), np.int64, len(self.joined))
+        self.made = np.fromiter(map(self.joined.__getitem__, self.pairs.tolist()), np.int64, len(self.joined))
+        self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+        self.forget()
 
-    def replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """The tokens of each of some non-empty words; a word that is a token itself stays whole."""
-        size = np.fromiter(map(len, words), np.int64, len(words))
+    def forget(self) -> None:
+        """Empties the memory of words: their places in the arrays of starts, sizes and ids."""
+        self.known: dict[str, int] = {}
+        self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of tokens, ``width`` where they do not join."""
+        keys = a * self.width + b
+        at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == keys, self.made[at], self.width)
+
+    def replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens of some non-empty words end to end, their number by word); a word that is a token itself stays whole."""
+        size, none = np.fromiter(map(len, words), np.int64, len(words)), self.width
         ends = np.cumsum(size)
-        raw = np.frombuffer(b"".join(words), np.uint8)
-        pair = np.full(len(raw), -1, np.int64)
-        pair[:-1] = self.first[raw[:-1], raw[1:]]
-        pair[ends - 1] = -1  # no pair leaves its word
-        after = np.arange(1, len(raw) + 1)
-        after[ends - 1] = -1
-        before = np.arange(-1, len(raw) - 1)
-        before[ends - size] = -1
-        order = np.argsort(pair, kind="stable")
-        order = order[np.searchsorted(pair[order], 0) :]
-        found, starts = np.unique(pair[order], return_index=True)
-        index = {int(r): p.tolist() for r, p in zip(found, np.split(order, starts[1:]), strict=True)} if len(found) else {}
-        word = np.repeat(np.arange(len(words)), size).tolist()
-        tokens, pair, after, before = [self.byte[i] for i in raw], pair.tolist(), after.tolist(), before.tolist()
-        heap, joined, width = sorted(index), self.joined, self.width
-        while heap:
-            rank = heapq.heappop(heap)
-            waiting: set[int] = set()  # words in which an earlier rank has come up meanwhile
-            for i in sorted(index.pop(rank, ())):
-                if pair[i] != rank:
-                    continue
-                if waiting and word[i] in waiting:
-                    if rank not in index:
-                        index[rank] = []
-                        heapq.heappush(heap, rank)
-                    index[rank].append(i)
-                    continue
+        token = self.byte[np.frombuffer(b"".join(words), np.uint8)]
+        after, before = np.arange(1, len(token) + 1), np.arange(-1, len(token) - 1)
+        after[ends - 1], before[ends - size] = -1, -1
+        word = np.repeat(np.arange(len(words)), size)
+        pair = np.full(len(token), none, np.int64)
+        first = np.flatnonzero(after >= 0)
+        pair[first] = self._rank(token[first], token[first + 1])
+        first = first[pair[first] < none]
+        count = int(np.clip(len(first) // STEP, 1, BLOCKS))
+        edges = np.unique(np.quantile(pair[first], np.linspace(0, 1, count + 1)[1:-1]).astype(np.int64)) if len(first) else np.zeros(0, np.int64)
+        index: list[list[np.ndarray]] = [[] for _ in range(len(edges) + 1)]
+
+        def enter(where: np.ndarray, least: int) -> np.ndarray:
+            """Puts positions into the index by rank and returns those at or before block ``least``."""
+            block = np.searchsorted(edges, pair[where], side="right")
+            later = where[block > least]
+            if len(later):
+                block = block[block > least]
+                order = np.argsort(block, kind="stable")
+                later, block = later[order], block[order]
+                cuts = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+                for n, part in zip(block[cuts].tolist(), np.split(later, cuts[1:]), strict=True):
+                    index[n].append(part)
+            return where[np.searchsorted(edges, pair[where], side="right") <= least]
+
+        enter(first, -1)
+        for number in range(len(index)):
+            limit = edges[number] if number < len(edges) else none
+            agenda = np.unique(np.concatenate(index[number])) if index[number] else np.zeros(0, np.int64)
+            index[number] = []
+            while True:
+                agenda = agenda[pair[agenda] < limit]
+                if not len(agenda):
+                    break
+                order = np.lexsort((agenda, pair[agenda], word[agenda]))
+                agenda = agenda[order]
+                lead = np.append(True, word[agenda[1:]] != word[agenda[:-1]])
+                i = agenda[lead]
                 j = after[i]
                 k, h = after[j], before[i]
-                tokens[i], after[i], pair[j], pair[i], tokens[j] = rank, k, -1, -1, -1
-                if k >= 0:
-                    before[k] = i
-                    new = joined.get(rank * width + tokens[k], -1)
-                    pair[i] = new
-                    if new >= 0:
-                        if new not in index:
-                            index[new] = []
-                            heapq.heappush(heap, new)
-                        index[new].append(i)
-                        if new < rank:
-                            waiting.add(word[i])
-                if h >= 0:
-                    new = joined.get(tokens[h] * width + rank, -1)
-                    pair[h] = new
-                    if new >= 0:
-                        if new not in index:
-                            index[new] = []
-                            heapq.heappush(heap, new)
-                        index[new].append(h)
-                        if new < rank:
-                            waiting.add(word[i])
-        out, start = [], 0
-        for text, end in zip(words, ends.tolist(), strict=True):
-            whole = self.ranks.get(text)
-            out.append((whole,) if whole is not None else tuple([t for t in tokens[start:end] if t >= 0]))
-            start = end
-        return out
+                token[i], pair[j], token[j] = pair[i], none, -1
+                after[i] = k
+                right, left = k >= 0, h >= 0
+                before[k[right]] = i[right]
+                pair[i] = none
+                pair[i[right]] = self._rank(token[i[right]], token[k[right]])
+                pair[h[left]] = self._rank(token[h[left]], token[i[left]])
+                touched = np.concatenate([i, h[left]])
+                touched = touched[pair[touched] < none]
+                agenda = np.unique(np.concatenate([agenda[~lead], enter(touched, number)]))
+        whole = np.array([self.ranks.get(w, -1) for w in words], np.int64)
+        token[whole[word] >= 0] = -1
+        alone = np.flatnonzero(whole >= 0)
+        token[ends[alone] - size[alone]] = whole[alone]
+        live = token >= 0
+        return token[live].astype(np.int32), np.bincount(word[live], minlength=len(words))
 
     def learn(self, pieces: set[str]) -> None:
         """Remembers the tokens of words not yet known, and forgets all others first if they would be too many."""
         new = [p for p in pieces if p not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
+            self.forget()
             new = list(pieces)
-        if new:
-            self.known.update(zip(new, self.replay([p.encode() for p in new]), strict=True))
+        if not new:
+            return
+        new.sort(key=len)
+        cut = next((n for n, p in enumerate(new) if len(p) > LONG), len(new))
+        parts = [self.replay([p.encode() for p in new[:cut]])] if cut else []
+        parts += [self.replay_long(p.encode()) for p in new[cut:]]
+        ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+
+    def replay_long(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`replay` for one long word: the index lists positions by single ranks, and a heap finds the lowest."""
+        whole = self.ranks.get(text)
+        if whole is not None:
+            return np.array([whole], np.int32), np.array([1])
+        tokens, n = self.byte[np.frombuffer(text, np.uint8)].tolist(), len(text)
+        after, before = [*range(1, n), -1], list(range(-1, n - 1))
+        pair = [*self._rank(np.array(tokens[:-1], np.int64), np.array(tokens[1:], np.int64)).tolist(), self.width]
+        index: dict[int, list[int]] = {}
+        for i, r in enumerate(pair):
+            if r < self.width:
+                index.setdefault(r, []).append(i)
+        heap = sorted(index)
+
+        def enter(at: int, rank: int) -> None:
+            pair[at] = rank
+            if rank < self.width:
+                if rank not in index:
+                    index[rank] = []
+                    heapq.heappush(heap, rank)
+                index[rank].append(at)
+
+        while heap:
+            rank, lower = heapq.heappop(heap), False
+            where = sorted(index.pop(rank, ()))
+            for place, i in enumerate(where):
+                if pair[i] != rank:
+                    continue
+                j = after[i]
+                k, h = after[j], before[i]
+                tokens[i], tokens[j], pair[j], pair[i], after[i] = rank, -1, self.width, self.width, k
+                for at, a, b in ((i, i, k), (h, h, i)):
+                    if at >= 0 and b >= 0:
+                        enter(at, new := self.joined.get(tokens[a] * self.width + tokens[b], self.width))
+                        lower = lower or new < rank
+                if k >= 0:
+                    before[k] = i
+                if lower:  # an earlier rank has come up: it goes first
+                    for later in where[place + 1 :]:
+                        if pair[later] == rank:
+                            enter(later, rank)
+                    break
+        ids = np.array([t for t in tokens if t >= 0], np.int32)
+        return ids, np.array([len(ids)])
+
+    def _ids(self, pieces: list[str]) -> np.ndarray:
+        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        return self.ids[_runs(self.starts[at], self.sizes[at])]
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text; words of neighbouring texts are replayed together."""
@@ -127,19 +212,23 @@ class Replay:
             else:
                 split = [self.find.findall(t) for t in texts[at:end]]
                 self.learn(set(chain.from_iterable(split)))
-                for pieces in split:
-                    yield np.fromiter(chain.from_iterable(map(self.known.__getitem__, pieces)), np.int32)
+                yield from map(self._ids, split)
             at = end
 
     def _long(self, text: str) -> np.ndarray:
         words, parts = (m.group() for m in self.find.finditer(text)), []
         while pieces := list(islice(words, SLICE)):
             self.learn(set(pieces))
-            parts.append(np.fromiter(chain.from_iterable(map(self.known.__getitem__, pieces)), np.int32))
+            parts.append(self._ids(pieces))
         return np.concatenate(parts)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes that the ids stand for."""
+        out = []
+        for at in range(0, len(ids), SLICE):
+            part = ids[at : at + SLICE]
+            out.append(self.raw[_runs(self.start[part], self.size[part])].tobytes())
+        return b"".join(out)
 
 
 _BUILT: dict[str, Replay] = {}
@@ -169,7 +258,7 @@ class Tokenizer:
         @F.arrow_udf("binary")
         def decode(ids: pa.Array) -> pa.Array:
             own = _built(key, sent, pattern)
-            return pa.array([own.decode(x.as_py() or []) for x in ids], pa.binary())
+            return pa.array([own.decode(x.values.to_numpy()) if x.is_valid and len(x.values) else b"" for x in ids], pa.binary())
 
         self._encode, self._decode = encode, decode
 
