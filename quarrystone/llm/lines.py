@@ -99,12 +99,13 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for low, high in zip([None, *cuts], [*cuts, None], strict=True):
             inside = F.lit(True) if low is None else (F.col("id") > low) if high is not None else (F.col("id") > low) | F.col("id").isNull()
             runs.absorb(keys.where(inside if high is None else inside & (F.col("id") <= high)))
-        held = keys.join(runs.owners().hint("merge"), "digest")
+        owners = scratch.keep(runs.owners(), "line-owners")  # a plain table: buckets would keep a hot digest from being split
+        held = keys.join(owners, "digest")
         gone = held.where(F.col("owner").isNotNull() & ~F.col("id").eqNullSafe(F.col("owner"))).groupBy("id").agg(F.collect_set("digest").alias("gone"))
         kept = scratch.keep(gone, "line-drops")
     finally:
         runs.close()
-    scratch.drop(keys)
+    scratch.drop(keys, owners)
     return kept
 
 
