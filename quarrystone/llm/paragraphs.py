@@ -6,7 +6,7 @@ of a bucket is ever written:
 
 1. every class of a bucket is verified against the bucket's smallest class, and what links is united;
 2. buckets that still hold classes of different components are compared member by member inside tasks, in chunks where a
-   bucket is large, skipping pairs already united, and each task returns a spanning star of the links it finds.
+   bucket is large, skipping pairs already united, and each task returns only links that unite two components.
 
 Pass 1 settles groups of near copies however large; pass 2 sees the rest, so that every link between two classes that share a
 bucket takes effect. Shingles are fetched only for classes that share a bucket at all. Joins on hot keys are between written
@@ -19,7 +19,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -141,12 +140,8 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, least:
     return texts.mapInArrow(run, "node long, grams binary")
 
 
-def _bucket(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """A spanning star of the links between components that meet in one bucket, or in two chunks of it."""
-    pdf = pdf.sort_values("node", kind="stable").drop_duplicates("node")
-    node, root, chunk = (pdf[c].to_numpy(np.int64) for c in ("node", "root", "chunk"))
-    sets = [np.frombuffer(g, np.uint64) for g in pdf["grams"]]
-    a, b = int(pdf["a"].iloc[0]), int(pdf["b"].iloc[0])
+def _bucket(node: np.ndarray, root: np.ndarray, chunk: np.ndarray, sets: list[np.ndarray], across: bool, similarity: float) -> list[tuple[int, int]]:
+    """Links that join components which meet in one bucket, or, with ``across``, in two chunks of it: (node, smaller node)."""
     group = {r: r for r in root.tolist()}
 
     def top(r: int) -> int:
@@ -157,15 +152,45 @@ def _bucket(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
 
     found = []
     size = np.array([len(s) for s in sets])
-    for i in range(len(node)):
-        for j in np.flatnonzero((size >= similarity * size[i]) & (similarity * size <= size[i]) & (np.arange(len(node)) > i)):
-            if a != b and chunk[i] == chunk[j]:
-                continue
+    for i in range(len(node) - 1):
+        fits = (size[i + 1 :] >= similarity * size[i]) & (similarity * size[i + 1 :] <= size[i]) & (root[i + 1 :] != root[i])
+        if across:
+            fits &= chunk[i + 1 :] != chunk[i]
+        for j in np.flatnonzero(fits) + i + 1:
             x, y = top(int(root[i])), top(int(root[j]))
             if x != y and alike(sets[i], sets[j], similarity):
                 group[max(x, y)] = min(x, y)
                 found.append((int(node[j]), int(node[i])))
-    return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+    return found
+
+
+def _compared(rest: DataFrame, similarity: float) -> DataFrame:
+    """(u, v) links of all groups of ``rest`` (bucket, a, b, node, root, chunk, grams): rows of a group are brought together
+    and sorted, and a task goes through its groups one after another, holding no more than two chunks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def close() -> list[tuple[int, int]]:
+            node, root, chunk = (np.array([h[k] for h in held], np.int64) for k in (3, 4, 5))
+            return _bucket(node, root, chunk, [np.frombuffer(h[6], np.uint64) for h in held], held[0][1] != held[0][2], similarity)
+
+        def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+        for batch in batches:
+            links: list[tuple[int, int]] = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and held[0][:3] != row[:3]:
+                    links += close()
+                    held = []
+                held.append(row)
+            yield out(links)
+        if held:
+            yield out(close())
+
+    columns = ["bucket", "a", "b", "node", "root", "chunk", "grams"]
+    return rest.select(columns).repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b", "node").mapInArrow(run, "u long, v long")
 
 
 def clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = WORDS, similarity: float = SIMILARITY, chunk: int = CHUNK) -> DataFrame:
@@ -202,13 +227,15 @@ def clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     roots = scratch.keep(components(links), "paragraph-roots")
     placed = members.select("bucket", "size", "node").join(roots, "node", "left").select("bucket", "size", "node", F.coalesce("component", "node").alias("root"))
     placed = scratch.keep(placed, "paragraph-placed")
-    mixed = scratch.keep(placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket"), "paragraph-mixed")
+    # buckets of several bands often hold the same classes: one of those with equal members (by 128 bits) stands for all
+    members_hash = [F.bit_xor(F.xxhash64(*k)).alias(n) for n, k in (("x", ["node"]), ("y", ["node", F.lit("again")]))]
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"), *members_hash).where("low != high")
+    mixed = scratch.keep(mixed.groupBy("x", "y", "n").agg(F.min("bucket").alias("bucket")).select("bucket"), "paragraph-mixed")
     rest = placed.join(mixed, "bucket").join(sets, "node")
     chunks = F.ceil(F.col("size") / chunk).cast("int")
     rest = rest.withColumns({"chunks": chunks, "chunk": F.pmod(F.xxhash64("node"), chunks).cast("int")}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rest = rest.select("bucket", "node", "root", "grams", "chunk", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"))
-    more = rest.groupBy("bucket", "a", "b").applyInPandas(lambda pdf: _bucket(pdf, similarity), "u long, v long")
-    final = components(links.unionByName(more))
+    final = components(links.unionByName(_compared(rest, similarity)))
     named = classes.select("node", "key", "first", "n").join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = scratch.keep(named, "paragraph-named")
     heads = scratch.keep(named.groupBy("component").agg(F.min("first").alias("head"), F.sum("n").alias("all")).where(F.col("all") > 1), "paragraph-heads")
