@@ -34,6 +34,7 @@ def narrative_evidence(narratives: DataFrame) -> DataFrame:
 
 def report_documents(reports: DataFrame, devices: DataFrame, narratives: DataFrame) -> DataFrame:
     """A row per report and narrative; devices are reduced to one row a report before the join."""
+    reports = reports.select("mdr_report_key", "event_type", "date_received", "dataset_snapshot_id")  # other tables share further names
     meta, texts = device_metadata(devices), narrative_evidence(narratives).withColumnRenamed("mdr_report_key", "_text_report")
     joined = reports.join(meta, reports["mdr_report_key"] == meta["_device_report"], "left").join(texts, reports["mdr_report_key"] == texts["_text_report"], "left")
     none = F.array().cast("array<string>")
