@@ -7,21 +7,35 @@ when a key is hot. Where the setting is absent (tests), a temporary folder is ma
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_ROOTS: dict[str, str] = {}
 
 
 def root(spark: SparkSession) -> str:
-    """The shared folder named by the session, or one made for it where the setting is absent."""
+    """The shared folder named by the session; in local mode, where the setting may be absent, one made for the process.
+
+    What a process has written there is deleted when it ends in good order.
+    """
     found = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="quarrystone-")
-        spark.conf.set(SETTING, found)
-    return found.rstrip("/")
+    application, master = spark.sparkContext.applicationId, spark.sparkContext.master
+    if not found and master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"{SETTING} must name a folder that all executors share")
+    if application not in _ROOTS:
+        _ROOTS[application] = (found or "file://" + tempfile.mkdtemp(prefix="quarrystone-")).rstrip("/")
+        atexit.register(_forget, spark, f"{_ROOTS[application]}/quarrystone/{application}")
+    return _ROOTS[application]
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone
+        remove(spark, path)
 
 
 def folder(spark: SparkSession, name: str) -> str:
