@@ -35,9 +35,9 @@ SELECT CAST(conv_id AS STRING), CAST(turn AS STRING), 'copy', CASE WHEN turn = 1
        CASE WHEN turn % 2 = 0 THEN 'a.txt' ELSE 'c.txt' END, CAST(turn + 9 AS STRING), 'snapshot-1'
 FROM conversations WHERE conv_id % 3 = 0
 """
-#: Documents dated over the three splits, some undated; a seventh of them report under the key of their neighbour.
+#: Documents dated over the three splits, some undated; a seventh of them report under the key of an earlier one.
 DATED = """
-SELECT doc_id, CAST(doc_id - CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END AS BIGINT) AS report_id, text,
+SELECT doc_id, CAST(doc_id - CASE WHEN doc_id % 7 = 0 AND doc_id >= 150 THEN 150 ELSE 0 END AS BIGINT) AS report_id, text,
        CASE WHEN doc_id % 97 = 0 THEN CAST(NULL AS DATE) ELSE CAST(DATE '2024-07-01' + CAST(doc_id % 730 AS INT) AS DATE) END AS received
 FROM documents
 """
