@@ -147,7 +147,9 @@ def _inner(x: np.ndarray, links: np.ndarray, cosine: float, seed: int) -> None:
     for t in range(INNER_TREES):
         for _, idx in route(x, grow(x, len(x), SMALL, seed + 7919 * t)):
             for at in range(0, len(idx), CHUNK):
-                links[np.ix_(idx[at : at + CHUNK], idx)] |= x[idx[at : at + CHUNK]] @ x[idx].T >= cosine
+                some = idx[at : at + CHUNK]
+                a, b = np.nonzero(x[some] @ x[idx].T >= cosine)
+                links[some[a], idx[b]] = True
 
 
 def _leaf(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
@@ -167,18 +169,20 @@ def _leaf(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
     linked = np.flatnonzero(links.any(axis=1))
     if not linked.size:
         return pd.DataFrame({"rep": rep[:0], "links": rep[:0], "root": rep[:0]})
-    earlier = sorted({c for codes in pdf["codes"] for c in codes if c < code})
-    place, held = {c: i for i, c in enumerate(earlier)}, np.zeros((n, len(earlier)), np.float32)
-    for i, codes in enumerate(pdf["codes"]):
-        held[i, [place[c] for c in codes if c < code]] = 1
+    links, rep, mult, n = links[np.ix_(linked, linked)], rep[linked], mult[linked], len(linked)  # the others have no part in what follows
+    lists = [[c for c in codes if c < code] for codes in pdf["codes"].iloc[linked]]
+    place = {c: i for i, c in enumerate(sorted({c for codes in lists for c in codes}))}
+    held = np.zeros((n, len(place)), np.float32)
+    for i, codes in enumerate(lists):
+        held[i, [place[c] for c in codes]] = 1
     count = np.zeros(n, np.int64)
     for at in range(0, n, 1024):
         own = links[at : at + 1024]
-        if earlier:
+        if place:
             own = own & (held[at : at + 1024] @ held.T == 0)
         count[at : at + 1024] = np.where(own, mult, 0).sum(axis=1)
     root, seen = np.arange(n), np.zeros(n, bool)
-    for i in linked:
+    for i in range(n):
         if seen[i]:
             continue
         front = np.array([i])
@@ -187,7 +191,7 @@ def _leaf(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
             root[front] = i
             front = np.flatnonzero(links[front].any(axis=0) & ~seen)
             seen[front] = True
-    return pd.DataFrame({"rep": rep[linked], "links": count[linked], "root": rep[root[linked]]})
+    return pd.DataFrame({"rep": rep, "links": count, "root": rep[root]})
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = COSINE, sample: int = SAMPLE, trees: int = TREES, leaf: int = LEAF, large: int = LARGE, chunk: int = CHUNK) -> DataFrame:
