@@ -1,6 +1,6 @@
 """Substring dedup by paragraphs: MinHash banding, exact verification, removal by connected components.
 
-A paragraph is a line of at least ``WORDS`` words. Equal paragraphs (A-Z lower-cased, white space collapsed) are one class.
+Verbatim passages inside other text, or over several lines, are found by :mod:`quarrystone.llm.passages`. A paragraph is a line of at least ``WORDS`` words. Equal paragraphs (A-Z lower-cased, white space collapsed) are one class.
 Classes whose MinHash signatures agree in a band share a bucket. Buckets are worked off in two passes, so that no pair list
 of a bucket is ever written:
 
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrystone.llm import scratch
+from quarrystone.llm import passages, scratch
 from quarrystone.llm.components import components
 
 WORDS, WIDTH, SIMILARITY, RECALL, BANDS, CHUNK = 20, 5, 0.8, 0.9995, 24, 512
@@ -245,17 +245,40 @@ def clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     return out.select("doc", "line", "start", "end", "cluster_doc", "cluster_line", kept.alias("kept"))
 
 
+def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of :func:`clusters`, and those of :func:`passages.repeated` with a null line: a passage keeps to no line."""
+    found = passages.repeated(docs, id_col, text_col)
+    none = F.lit(None).cast("int")
+    found = found.select("doc", none.alias("line"), "start", "end", "cluster_doc", none.alias("cluster_line"), "kept")
+    return clusters(docs, id_col, text_col).unionByName(found)
+
+
 def without_copies(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the lines that :func:`clusters` does not keep taken out of their texts."""
+    """``docs`` without what :func:`clusters` or :func:`copies` does not keep: lines are taken out, passages cut from theirs."""
 
-    def cut(text: pa.Array, lines: pa.Array) -> pa.Array:
+    def cut(text: pa.Array, marks: pa.Array) -> pa.Array:
         out = []
-        for one, gone in zip(text, lines, strict=True):
-            drop = set(gone.as_py() or ())
-            out.append("\n".join(x for i, x in enumerate(one.as_py().split("\n")) if i not in drop) if drop and one.is_valid else one.as_py())
+        for one, marked in zip(text, marks, strict=True):
+            marked = marked.as_py() or ()
+            drop = {m["line"] for m in marked if m["line"] is not None}
+            spans = [m for m in marked if m["line"] is None]
+            if not marked or not one.is_valid:
+                out.append(one.as_py())
+                continue
+            whole, at, lines = one.as_py(), 0, []
+            gone = np.zeros(len(whole) + 1 if spans else 0, bool)
+            for kept in (False, True):
+                for m in spans:
+                    if m["kept"] == kept:
+                        gone[m["start"] : m["end"]] = not kept
+            for i, line in enumerate(whole.split("\n")):
+                if i not in drop:
+                    lines.append("".join(c for c, g in zip(line, gone[at : at + len(line)], strict=True) if not g) if gone[at : at + len(line)].any() else line)
+                at += len(line) + 1
+            out.append("\n".join(lines))
         return pa.array(out, pa.string())
 
-    gone = found.where(~F.col("kept")).groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("line").alias("__lines"))
+    gone = found.where(~F.col("kept") | F.col("line").isNull()).groupBy(F.col("doc").alias("__doc")).agg(F.collect_set(F.struct("line", "start", "end", "kept")).alias("__marks"))
     joined = docs.join(gone, docs[id_col].eqNullSafe(gone["__doc"]), "left")
-    cut_text = F.arrow_udf(cut, "string")(docs[text_col].cast("string"), gone["__lines"])
+    cut_text = F.arrow_udf(cut, "string")(docs[text_col].cast("string"), gone["__marks"])
     return joined.select(*(cut_text.alias(c) if c == text_col else docs[c] for c in docs.columns))

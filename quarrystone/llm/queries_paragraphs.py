@@ -1,4 +1,4 @@
-"""Query ``op6_paragraph_dedup``: every paragraph that has an equal or near copy, with its cluster."""
+"""Query ``op6_paragraph_dedup``: every paragraph that has an equal or near copy, with its cluster, and every repeated passage."""
 
 from __future__ import annotations
 
@@ -9,5 +9,5 @@ from quarrystone.llm import paragraphs
 
 
 def op6_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = paragraphs.clusters(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    found = paragraphs.copies(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return found.select(F.col("doc").alias("doc_id"), "line", "start", "end", F.col("cluster_doc").alias("cluster_doc_id"), "cluster_line", "kept")
