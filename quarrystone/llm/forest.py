@@ -1,10 +1,9 @@
 """Embedding near-dedup with a forest of random-projection trees.
 
-Equal vectors of a label are collapsed first. The upper part of the forest is fitted on the driver from a bounded sample:
+Equal vectors of a label are collapsed first. The forest is fitted on the driver from a bounded sample:
 each node splits at the median of a random projection, and vectors near the split go to both sides. Every vector is then
-routed through every tree and meets the others of its leaf in one task. There, more trees of the same kind split the leaf in
-memory down to ``SMALL`` rows, within which all cosines are computed. A leaf of more than ``LARGE`` rows, for which the
-sample was too coarse, is cut into chunks whose pairs are compared exactly, in blocks.
+routed through every tree and meets the others of its leaf in one task, where all cosines are computed, in blocks. A leaf of
+more than ``LARGE`` rows, for which the sample was too coarse, is cut into chunks whose pairs are compared in the same way.
 
 Tasks return link counts and a spanning star of their links, not the pairs. Two vectors may share leaves of several trees;
 their link is counted in the first of them alone, which both can tell because every row carries its list of leaves.
@@ -25,10 +24,12 @@ from quarrystone.llm import scratch
 from quarrystone.llm.components import components
 
 COSINE = 0.93
-#: Rows in the driver's sample, trees above and below, and the share of a node's rows on each side of a split that go to both.
-SAMPLE, TREES, INNER_TREES, SPILL = 8_192, 6, 8, 0.1
-#: Rows expected in a leaf of the upper trees, rows beyond which a leaf is cut into chunks, rows of a chunk, of an inner leaf.
-LEAF, LARGE, CHUNK, SMALL = 2_048, 8_192, 4_096, 256
+#: Rows in the driver's sample, trees, and the share of a node's rows on each side of a split that go to both.
+SAMPLE, TREES, SPILL = 8_192, 6, 0.1
+#: Rows of a node's sample whose links are looked at, and the share of links that a tree must leave together.
+SEEN, KEPT = 256, 0.45
+#: Rows expected in a leaf, rows beyond which a leaf is cut into chunks, rows of a chunk.
+LEAF, LARGE, CHUNK = 2_048, 8_192, 4_096
 STRIDE = 1 << 20
 
 
@@ -66,12 +67,25 @@ def _split(x: np.ndarray, seed: int, spill: float) -> tuple[float, float, float,
     return float(middle), float(low), float(high), p
 
 
-def grow(x: np.ndarray, rows: float, leaf: int, seed: int, spill: float = SPILL) -> list[tuple]:
-    """A tree over sample ``x`` that stands for ``rows`` rows: nodes (seed, low, high, left, right) or (leaf number,)."""
+def _survives(x: np.ndarray, p: np.ndarray, low: float, high: float, cosine: float) -> float:
+    """The share of the links of a few rows that a split leaves within a child; 1 where too few show."""
+    some = np.linspace(0, len(x) - 1, min(len(x), SEEN)).astype(int)
+    a, b = np.nonzero(np.triu(x[some] @ x[some].T >= cosine, 1))
+    p = p[some]
+    together = (p[a] <= high) & (p[b] <= high) | (p[a] >= low) & (p[b] >= low)
+    return float(together.mean()) if len(a) >= 32 else 1.0
+
+
+def grow(x: np.ndarray, rows: float, leaf: int, seed: int, spill: float = SPILL, cosine: float = COSINE) -> list[tuple]:
+    """A tree over sample ``x`` that stands for ``rows`` rows: nodes (seed, low, high, left, right) or (leaf number,).
+
+    A node stays whole, whatever its size, where splitting it would leave fewer than ``KEPT`` of the links since the root
+    together: in a group of near copies every split is random.
+    """
     nodes: list[tuple] = []
     leaves = 0
 
-    def add(idx: np.ndarray, share: float) -> int:
+    def add(idx: np.ndarray, share: float, together: float) -> int:
         nonlocal leaves
         at = len(nodes)
         nodes.append(())
@@ -82,14 +96,15 @@ def grow(x: np.ndarray, rows: float, leaf: int, seed: int, spill: float = SPILL)
         own = (seed * 1_000_003 + at) % (1 << 31)
         middle, low, high, p = _split(x[idx], own, spill)
         left, right = idx[p <= high], idx[p >= low]
-        if len(left) == len(idx) or len(right) == len(idx):
+        together *= _survives(x[idx], p, low, high, cosine)
+        if len(left) == len(idx) or len(right) == len(idx) or together < KEPT:
             nodes[at] = (leaves,)
             leaves += 1
             return at
-        nodes[at] = (own, low, high, add(left, share * len(left) / len(idx)), add(right, share * len(right) / len(idx)))
+        nodes[at] = (own, low, high, add(left, share * len(left) / len(idx), together), add(right, share * len(right) / len(idx), together))
         return at
 
-    add(np.arange(len(x)), rows)
+    add(np.arange(len(x)), rows, 1.0)
     return nodes
 
 
@@ -107,7 +122,7 @@ def route(x: np.ndarray, nodes: list[tuple]) -> Iterator[tuple[int, np.ndarray]]
         work += [(side, part) for side, part in ((left, idx[p <= high]), (right, idx[p >= low])) if len(part)]
 
 
-def routed(classes: DataFrame, sample: int = SAMPLE, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL) -> DataFrame:
+def routed(classes: DataFrame, sample: int = SAMPLE, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, cosine: float = COSINE) -> DataFrame:
     """(label, dim, code, codes, rep, mult, vec): a row for each leaf of each tree that a vector is in."""
     total = classes.count()
     taken = classes.orderBy(F.xxhash64("key"), "label", "dim", "key").limit(sample).select("label", "dim", "vec").collect()  # bounded by ``sample``
@@ -117,7 +132,7 @@ def routed(classes: DataFrame, sample: int = SAMPLE, trees: int = TREES, leaf: i
     forest = {}
     for (label, dim), rows in groups.items():
         x, share = _unit(rows, dim), len(rows) * total / max(1, len(taken))
-        grown = [grow(x, share, leaf, int.from_bytes(hashlib.blake2b(f"{label}|{dim}|{t}".encode(), digest_size=4).digest(), "big"), spill) for t in range(trees)]
+        grown = [grow(x, share, leaf, int.from_bytes(hashlib.blake2b(f"{label}|{dim}|{t}".encode(), digest_size=4).digest(), "big"), spill, cosine) for t in range(trees)]
         forest[label, dim] = grown[:1] if all(len(g) == 1 for g in grown) else grown
     whole = [[(0,)]]
 
@@ -142,29 +157,16 @@ def routed(classes: DataFrame, sample: int = SAMPLE, trees: int = TREES, leaf: i
     return classes.select("label", "dim", "rep", "mult", "vec").mapInArrow(run, "label string, dim int, code int, codes array<int>, rep long, mult long, vec binary")
 
 
-def _inner(x: np.ndarray, links: np.ndarray, cosine: float, seed: int) -> None:
-    """Marks the links that the inner trees' leaves show."""
-    for t in range(INNER_TREES):
-        for _, idx in route(x, grow(x, len(x), SMALL, seed + 7919 * t)):
-            for at in range(0, len(idx), CHUNK):
-                some = idx[at : at + CHUNK]
-                a, b = np.nonzero(x[some] @ x[idx].T >= cosine)
-                links[some[a], idx[b]] = True
-
-
 def _leaf(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
     """(rep, links, root) of the rows that have a link here; links counts those that no earlier leaf counts."""
     pdf = pdf.sort_values("rep", kind="stable")
     rep, mult, chunk = (pdf[c].to_numpy(np.int64) for c in ("rep", "mult", "chunk"))
     x, n, code, first = _unit(list(pdf["vec"]), int(pdf["dim"].iloc[0])), len(pdf), int(pdf["code"].iloc[0]), int(pdf["a"].iloc[0])
     links = np.zeros((n, n), bool)
-    if pdf["chunks"].iloc[0] == 1:
-        _inner(x, links, cosine, code + 1)
-    else:
-        across = pdf["a"].iloc[0] != pdf["b"].iloc[0]
-        for at in range(0, n, 1024):
-            near = x[at : at + 1024] @ x.T >= cosine
-            links[at : at + 1024] = near & (chunk[at : at + 1024, None] != chunk) if across else near & (first == chunk)
+    across = pdf["a"].iloc[0] != pdf["b"].iloc[0]
+    for at in range(0, n, 1024):
+        near = x[at : at + 1024] @ x.T >= cosine
+        links[at : at + 1024] = near & (chunk[at : at + 1024, None] != chunk) if across else near & (first == chunk)
     np.fill_diagonal(links, False)
     linked = np.flatnonzero(links.any(axis=1))
     if not linked.size:
@@ -204,7 +206,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     """
     rows = scratch.keep(keyed(vectors, id_col, vector_col, label_col), "vectors")
     classes = scratch.keep(rows.where("key IS NOT NULL").groupBy("label", "dim", "key").agg(F.min("id").alias("rep"), F.count("*").alias("mult"), F.first("vec").alias("vec")), "vector-classes")
-    dealt = routed(classes, sample, trees, leaf)
+    dealt = routed(classes, sample, trees, leaf, cosine=cosine)
     where = ["label", "dim", "code"]
     sizes = scratch.keep(dealt.groupBy(*where).count().where(F.col("count") > large).select(*where, F.ceil(F.col("count") / chunk).cast("int").alias("chunks")), "large-leaves")
     cut = dealt.join(sizes, where, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
