@@ -6,7 +6,8 @@ result is scanned and goes back on the list, until nothing decodes further. Ever
 the original text that it came from, so a finding in any layer has a span in the original. A layer whose text has been seen
 at the same place is not entered again, which ends cycles such as a stream that inflates to itself.
 
-No secret spans lines in its plain form, so decoding by line loses no context. The scan is a map over rows.
+No secret spans lines in its plain form, so decoding by line loses no context; base64 wrapped at a fixed width is one token
+over all its lines. The scan is a map over rows.
 """
 
 from __future__ import annotations
@@ -101,7 +102,7 @@ def _readable(text: str) -> bool:
     return all(c.isprintable() or c in "\t\r\n\f\v" for c in text)
 
 
-def _base64(m: re.Match[str]) -> tuple[str, list[Span] | None] | None:
+def _base64(m: re.Match[str] | Stretch) -> tuple[str, list[Span] | None] | None:
     token = m[0].rstrip("=")
     if len(token) % 4 == 1 or ("+" in token or "/" in token) and ("-" in token or "_" in token):
         return None
@@ -132,10 +133,62 @@ def _base64(m: re.Match[str]) -> tuple[str, list[Span] | None] | None:
     return text, spans
 
 
-DECODERS = ((PERCENT, _percent), (ESCAPE, _escape), (BASE64, _base64))
+@dataclass
+class Stretch:
+    """Several lines that are one base64 token, in the manner of a match."""
+
+    at: int
+    body: str
+    places: list[int]
+
+    def start(self) -> int:
+        return self.at
+
+    def end(self) -> int:
+        return self.at + self.places[-1] + 1
+
+    def __getitem__(self, _: int) -> str:
+        return self.body
+
+
+class Wrapped:
+    """Runs of lines that are wholly base64 and equally long, with the shorter line that may end them."""
+
+    LINE = re.compile(r"^[ \t]*([A-Za-z0-9+/_-]+={0,2})[ \t\r]*$", re.MULTILINE)
+
+    def finditer(self, text: str) -> Iterator[Stretch]:
+        run: list[re.Match[str]] = []
+        for m in self.LINE.finditer(text):
+            follows = run and text.count("\n", run[-1].end(1), m.start(1)) == 1
+            if follows and len(run[-1][1]) == len(run[0][1]) >= len(m[1]) and "=" not in run[-1][1]:
+                run.append(m)
+                continue
+            yield from self._found(run)
+            run = [m]
+        yield from self._found(run)
+
+    def _found(self, run: list[re.Match[str]]) -> Iterator[Stretch]:
+        if len(run) < 2 or len(run[0][1]) < 12:
+            return
+        for lines in (run, run[:-1]):  # the last line may be a word of the text
+            at = lines[0].start(1)
+            one = Stretch(at, "".join(m[1] for m in lines), [i - at for m in lines for i in range(m.start(1), m.end(1))])
+            if len(lines) > 1 and _base64(one) is not None:
+                yield one
+                return
+
+
+def _wrapped(m: Stretch) -> tuple[str, list[Span] | None] | None:
+    found = _base64(m)
+    if found is None or found[1] is None:
+        return found
+    return found[0], [(m.places[s], m.places[e - 1] + 1) for s, e in found[1]]
+
+
+DECODERS = ((PERCENT, _percent), (ESCAPE, _escape), (BASE64, _base64), (Wrapped(), _wrapped))
 
 
-def _unwrapped(layer: Layer, pattern: re.Pattern[str], decode: Callable) -> Layer | None:
+def _unwrapped(layer: Layer, pattern: re.Pattern[str] | Wrapped, decode: Callable) -> Layer | None:
     """The layer with every match that decodes replaced, or None where none does."""
     text, low, high, at, changed = [], [], [], 0, False
     for m in pattern.finditer(layer.text):
