@@ -18,6 +18,7 @@ import bz2
 import hashlib
 import lzma
 import re
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -36,6 +37,8 @@ ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
 #: A stream that would inflate beyond this many bytes is left as it is: it is a bomb, not a text.
 INFLATED = 1 << 26
+#: The share of readable characters that makes a layer a text, the kinds of blanks and marks that count, bytes that are not UTF-8.
+READABLE, TEXT, LOST = 0.8, {"Zs", "Zl", "Zp", "Cf"}, re.compile("[\udc80-\udcff]")
 
 Span = tuple[int, int]
 
@@ -78,28 +81,43 @@ def _escape(m: re.Match[str]) -> tuple[str, list[Span] | None] | None:
     return chr(number), None
 
 
-def _inflated(raw: bytes) -> bytes | None:
-    """What a gzip, zlib, bzip2 or xz stream holds, or None where there is none or it is too large."""
+def _stream(raw: bytes) -> Callable | None:
+    """What makes a decompressor for the gzip, zlib, bzip2 or xz stream at the start, or None where there is none."""
     if raw[:2] == b"\x1f\x8b":
-        make: Callable = lambda: zlib.decompressobj(31)
-    elif raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] * 256 + raw[1]) % 31 == 0:
-        make = zlib.decompressobj
-    elif raw[:3] == b"BZh":
-        make = bz2.BZ2Decompressor
-    elif raw[:6] == b"\xfd7zXZ\x00":
-        make = lzma.LZMADecompressor
-    else:
-        return None
-    try:
-        tool = make()
-        out = tool.decompress(raw, INFLATED + 1)
-        return out if tool.eof and len(out) <= INFLATED else None
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
+        return lambda: zlib.decompressobj(31)
+    if raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] * 256 + raw[1]) % 31 == 0:
+        return zlib.decompressobj
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor
+    if raw[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor
+    return None
+
+
+def _inflated(raw: bytes) -> bytes | None:
+    """What the streams one after another hold, or None where there is none or they are too large."""
+    parts, room = [], INFLATED
+    while (make := _stream(raw)) is not None:
+        try:
+            tool = make()
+            out = tool.decompress(raw, room + 1)
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+            break
+        if len(out) > room:
+            return None
+        if not tool.eof:
+            break
+        parts.append(out)
+        room -= len(out)
+        raw = tool.unused_data.lstrip(b"\0")  # xz pads its streams
+    return b"".join(parts) if parts else None
 
 
 def _readable(text: str) -> bool:
-    return all(c.isprintable() or c in "\t\r\n\f\v" for c in text)
+    """Whether enough of the characters are such as texts have; surrogates stand for bytes that are not UTF-8."""
+    if text.isprintable():
+        return True
+    return sum(c.isprintable() or unicodedata.category(c) in TEXT or c in "\t\r\n\f\v" for c in text) >= READABLE * len(text)
 
 
 def _base64(m: re.Match[str] | Stretch) -> tuple[str, list[Span] | None] | None:
@@ -117,20 +135,18 @@ def _base64(m: re.Match[str] | Stretch) -> tuple[str, list[Span] | None] | None:
             return None
         seen.add(digest)
         raw, whole = out, True
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
+    text = raw.decode("utf-8", "surrogateescape")
     if not text or not _readable(text):
         return None
+    shown = LOST.sub("\ufffd", text)
     if whole:
-        return text, None
+        return shown, None
     spans, at = [], 0
     for c in text:
-        size = len(c.encode())
+        size = 1 if "\udc80" <= c <= "\udcff" else len(c.encode())
         spans.append((at * 4 // 3, min(len(m[0]), -(-(at + size) * 4 // 3))))
         at += size
-    return text, spans
+    return shown, spans
 
 
 @dataclass
