@@ -1,9 +1,9 @@
 """Byte-level BPE by replaying merges over a corpus of words.
 
 The distinct words of a stretch of documents are laid out as one array of tokens with links to both neighbours. An inverted
-index lists, for each merge, the positions where it applies; merges are applied in rank order over all words at once, and
-only the two neighbours of a merged pair are looked up again. A word's tokens are remembered, so a word is replayed once
-while it stays in a worker's bounded memory. Documents never leave their partition: nothing is shuffled.
+index lists, for each pair of neighbouring tokens, the positions where it stands; merges are applied in rank order over all
+words at once, and only the two neighbours of a merged pair are looked up again. A word's tokens are remembered, so a word is
+replayed once while it stays in a worker's bounded memory. Documents never leave their partition: nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -11,19 +11,20 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Words remembered by a worker, characters of text taken together, and words of a text taken together.
-REMEMBERED, TOGETHER, SLICE = 600_000, 8_000_000, 200_000
-#: Blocks of ranks at most, pairs for each of them at least, and characters beyond which a word is replayed alone.
-BLOCKS, STEP, LONG = 64, 8_000, 64
+#: Characters of text that make a stretch, words of a longer text taken at once, and words remembered after a stretch.
+TOGETHER, SLICE, REMEMBERED = 1 << 21, 200_000, 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -39,13 +40,7 @@ def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Replay:
-    """Encodes and decodes words by one vocabulary.
-
-    The index keeps positions by blocks of neighbouring ranks rather than by single ranks, so that a step handles thousands
-    of merges at once: blocks come up in rank order, and while one is worked off each word applies its lowest rank first, the
-    leftmost of equal ones, one at a time. New pairs of the block or of an earlier rank join it at once. Every word thus sees
-    its merges in the order of their ranks.
-    """
+    """Encodes and decodes words by one vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks, self.width = ranks, max(ranks.values()) + 1
@@ -54,78 +49,96 @@ class Replay:
         size = np.zeros(self.width, np.int64)
         size[[ranks[t] for t in tokens]] = [len(t) for t in tokens]
         self.size, self.start, self.raw = size, np.cumsum(size) - size, np.frombuffer(b"".join(tokens), np.uint8)
-        #: Rank of the token that two adjacent tokens make: first token times ``width`` plus the second.
-        self.joined = {a * self.width + b: r for t, r in ranks.items() for i in range(1, len(t)) if (a := ranks.get(t[:i])) is not None and (b := ranks.get(t[i:])) is not None}
-        self.pairs = np.fromiter(sorted(self.joined), np.int64, len(self.joined))
-        self.made = np.fromiter(map(self.joined.__getitem__, self.pairs.tolist()), np.int64, len(self.joined))
+        #: Pairs of tokens that join, as first times ``width`` plus second, in order, and the token that each makes.
+        joined = {a * self.width + b: r for t, r in ranks.items() for i in range(1, len(t)) if (a := ranks.get(t[:i])) is not None and (b := ranks.get(t[i:])) is not None}
+        self.pairs = np.fromiter(sorted(joined), np.int64, len(joined))
+        self.made = np.fromiter(map(joined.__getitem__, self.pairs.tolist()), np.int64, len(joined))
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+        #: Tokens that may join a neighbour at a rank before their own: after such a merge its word must go back in the order.
+        first, second = self.pairs // self.width, self.pairs % self.width
+        self.early = set(first[self.made < first].tolist()) | set(second[self.made < second].tolist())
         self.forget()
 
-    def forget(self) -> None:
-        """Empties the memory of words: their places in the arrays of starts, sizes and ids."""
-        self.known: dict[str, int] = {}
-        self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-
-    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Ranks of pairs of tokens, ``width`` where they do not join."""
+    def _places(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Places of pairs of tokens in ``pairs``, -1 where they do not join."""
+        if not len(self.pairs):
+            return np.full(len(a), -1)
         keys = a * self.width + b
         at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-        return np.where(self.pairs[at] == keys, self.made[at], self.width)
+        return np.where(self.pairs[at] == keys, at, -1)
 
     def replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens of some non-empty words end to end, their number by word); a word that is a token itself stays whole."""
-        size, none = np.fromiter(map(len, words), np.int64, len(words)), self.width
+        """(tokens of some non-empty words end to end, their number by word); a word that is a token itself stays whole.
+
+        Words do not touch each other, so all that hold a pair can merge it when its rank comes up. Within a word the
+        leftmost of overlapping pairs goes first.
+        """
+        size = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(size)
         token = self.byte[np.frombuffer(b"".join(words), np.uint8)]
-        after, before = np.arange(1, len(token) + 1), np.arange(-1, len(token) - 1)
+        after, before = np.arange(1, len(token) + 1, dtype=np.int32), np.arange(-1, len(token) - 1, dtype=np.int32)
         after[ends - 1], before[ends - size] = -1, -1
-        word = np.repeat(np.arange(len(words)), size)
-        pair = np.full(len(token), none, np.int64)
-        first = np.flatnonzero(after >= 0)
-        pair[first] = self._rank(token[first], token[first + 1])
-        first = first[pair[first] < none]
-        count = int(np.clip(len(first) // STEP, 1, BLOCKS))
-        edges = np.unique(np.quantile(pair[first], np.linspace(0, 1, count + 1)[1:-1]).astype(np.int64)) if len(first) else np.zeros(0, np.int64)
-        index: list[list[np.ndarray]] = [[] for _ in range(len(edges) + 1)]
-
-        def enter(where: np.ndarray, least: int) -> np.ndarray:
-            """Puts positions into the index by rank and returns those at or before block ``least``."""
-            block = np.searchsorted(edges, pair[where], side="right")
-            later = where[block > least]
-            if len(later):
-                block = block[block > least]
-                order = np.argsort(block, kind="stable")
-                later, block = later[order], block[order]
-                cuts = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-                for n, part in zip(block[cuts].tolist(), np.split(later, cuts[1:]), strict=True):
-                    index[n].append(part)
-            return where[np.searchsorted(edges, pair[where], side="right") <= least]
-
-        enter(first, -1)
-        for number in range(len(index)):
-            limit = edges[number] if number < len(edges) else none
-            agenda = np.unique(np.concatenate(index[number])) if index[number] else np.zeros(0, np.int64)
-            index[number] = []
-            while True:
-                agenda = agenda[pair[agenda] < limit]
-                if not len(agenda):
-                    break
-                order = np.lexsort((agenda, pair[agenda], word[agenda]))
-                agenda = agenda[order]
-                lead = np.append(True, word[agenda[1:]] != word[agenda[:-1]])
-                i = agenda[lead]
-                j = after[i]
-                k, h = after[j], before[i]
-                token[i], pair[j], token[j] = pair[i], none, -1
-                after[i] = k
-                right, left = k >= 0, h >= 0
-                before[k[right]] = i[right]
-                pair[i] = none
-                pair[i[right]] = self._rank(token[i[right]], token[k[right]])
-                pair[h[left]] = self._rank(token[h[left]], token[i[left]])
-                touched = np.concatenate([i, h[left]])
-                touched = touched[pair[touched] < none]
-                agenda = np.unique(np.concatenate([agenda[~lead], enter(touched, number)]))
+        word = np.repeat(np.arange(len(words), dtype=np.int32), size)
+        pair = np.full(len(token), -1, np.int32)
+        index: dict[int, list[np.ndarray]] = {}
+        queue: list[tuple[int, int]] = []
+        rank_of, fresh = np.append(self.made, -1), np.zeros(len(token), bool)
+
+        def enter(where: np.ndarray) -> None:
+            """Lists positions under the pairs that stand there."""
+            kind = pair[where]
+            where, kind = where[kind >= 0], kind[kind >= 0]
+            if not len(where):
+                return
+            order = np.argsort(kind, kind="stable")
+            where, kind = where[order], kind[order]
+            cuts = np.flatnonzero(kind[1:] != kind[:-1]) + 1
+            edges = [0, *cuts.tolist(), len(kind)]
+            for low, high in zip(edges[:-1], edges[1:], strict=True):
+                p = int(kind[low])
+                if p not in index:
+                    index[p] = []
+                    heapq.heappush(queue, (int(self.made[p]), p))
+                index[p].append(where[low:high])
+
+        inner = np.flatnonzero(after >= 0)
+        pair[inner] = self._places(token[inner], token[inner + 1])
+        enter(inner.astype(np.int32))
+        while queue:
+            rank = queue[0][0]
+            lists: list[np.ndarray] = []
+            while queue and queue[0][0] == rank:  # several pairs may make one token: they are of one rank
+                lists += index.pop(heapq.heappop(queue)[1])
+            agenda = np.concatenate(lists)
+            agenda = agenda[rank_of[pair[agenda]] == rank]  # the others have changed since
+            if not len(agenda):
+                continue
+            agenda.sort()
+            if len(lists) > 1:
+                agenda = agenda[np.append(True, agenda[1:] != agenda[:-1])]
+            if rank in self.early:
+                go = np.append(True, word[agenda[1:]] != word[agenda[:-1]])
+            else:  # every second one where pairs overlap in a row
+                overlaps = np.append(False, after[agenda[:-1]] == agenda[1:])
+                place = np.arange(len(agenda))
+                go = (place - np.maximum.accumulate(np.where(overlaps, 0, place))) % 2 == 0
+            i = agenda[go]
+            j = after[i]
+            k, h = after[j], before[i]
+            token[i], token[j], after[i] = rank, -1, k
+            pair[i], pair[j] = -1, -1
+            right, left = k >= 0, h >= 0
+            before[k[right]] = i[right]
+            touched = np.concatenate([i[right], before[i][left]])
+            touched.sort()
+            touched = touched[np.append(True, touched[1:] != touched[:-1])[: len(touched)]]
+            pair[touched] = self._places(token[touched], token[after[touched]])
+            enter(touched)
+            if rank in self.early:
+                fresh[touched] = True
+                rest = agenda[~go]
+                enter(rest[~fresh[rest]])
+                fresh[touched] = False
         whole = np.array([self.ranks.get(w, -1) for w in words], np.int64)
         token[whole[word] >= 0] = -1
         alone = np.flatnonzero(whole >= 0)
@@ -133,94 +146,42 @@ class Replay:
         live = token >= 0
         return token[live].astype(np.int32), np.bincount(word[live], minlength=len(words))
 
-    def learn(self, pieces: set[str]) -> None:
-        """Remembers the tokens of words not yet known, and forgets all others first if they would be too many."""
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
+    def forget(self) -> None:
+        """Empties the memory of words: their numbers, and where the ids of each lie."""
+        self.known: defaultdict[str, int] = defaultdict(count().__next__)
+        self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def _numbers(self, pieces: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int32, len(pieces))
+
+    def _taken(self, held: list[np.ndarray]) -> Iterator[np.ndarray]:
+        """The ids of some texts given as numbers of words, once the words that are new among them have been replayed."""
+        new = [w.encode() for w in islice(self.known, len(self.starts), None)]
+        if new:
+            ids, sizes = self.replay(new)
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+        for numbers in held:
+            yield self.ids[_runs(self.starts[numbers], self.sizes[numbers])]
+        if len(self.known) > REMEMBERED:
             self.forget()
-            new = list(pieces)
-        if not new:
-            return
-        new.sort(key=len)
-        cut = next((n for n, p in enumerate(new) if len(p) > LONG), len(new))
-        parts = [self.replay([p.encode() for p in new[:cut]])] if cut else []
-        parts += [self.replay_long(p.encode()) for p in new[cut:]]
-        ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
-
-    def replay_long(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """As :meth:`replay` for one long word: the index lists positions by single ranks, and a heap finds the lowest."""
-        whole = self.ranks.get(text)
-        if whole is not None:
-            return np.array([whole], np.int32), np.array([1])
-        tokens, n = self.byte[np.frombuffer(text, np.uint8)].tolist(), len(text)
-        after, before = [*range(1, n), -1], list(range(-1, n - 1))
-        pair = [*self._rank(np.array(tokens[:-1], np.int64), np.array(tokens[1:], np.int64)).tolist(), self.width]
-        index: dict[int, list[int]] = {}
-        for i, r in enumerate(pair):
-            if r < self.width:
-                index.setdefault(r, []).append(i)
-        heap = sorted(index)
-
-        def enter(at: int, rank: int) -> None:
-            pair[at] = rank
-            if rank < self.width:
-                if rank not in index:
-                    index[rank] = []
-                    heapq.heappush(heap, rank)
-                index[rank].append(at)
-
-        while heap:
-            rank, lower = heapq.heappop(heap), False
-            where = sorted(index.pop(rank, ()))
-            for place, i in enumerate(where):
-                if pair[i] != rank:
-                    continue
-                j = after[i]
-                k, h = after[j], before[i]
-                tokens[i], tokens[j], pair[j], pair[i], after[i] = rank, -1, self.width, self.width, k
-                for at, a, b in ((i, i, k), (h, h, i)):
-                    if at >= 0 and b >= 0:
-                        enter(at, new := self.joined.get(tokens[a] * self.width + tokens[b], self.width))
-                        lower = lower or new < rank
-                if k >= 0:
-                    before[k] = i
-                if lower:  # an earlier rank has come up: it goes first
-                    for later in where[place + 1 :]:
-                        if pair[later] == rank:
-                            enter(later, rank)
-                    break
-        ids = np.array([t for t in tokens if t >= 0], np.int32)
-        return ids, np.array([len(ids)])
-
-    def _ids(self, pieces: list[str]) -> np.ndarray:
-        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        return self.ids[_runs(self.starts[at], self.sizes[at])]
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of each text; words of neighbouring texts are replayed together."""
-        at = 0
-        while at < len(texts):
-            end, size = at + 1, len(texts[at])
-            while end < len(texts) and size + len(texts[end]) <= TOGETHER:
-                size += len(texts[end])
-                end += 1
-            if size > TOGETHER:
-                yield self._long(texts[at])
+        """The ids of each text; the words of neighbouring texts, up to ``TOGETHER`` characters, are replayed together."""
+        held, size = [], 0
+        for text in texts:
+            if held and size + len(text) > TOGETHER:
+                yield from self._taken(held)
+                held, size = [], 0
+            if len(text) > TOGETHER:
+                words, parts = (m.group() for m in self.find.finditer(text)), []
+                while pieces := list(islice(words, SLICE)):
+                    parts += self._taken([self._numbers(pieces)])
+                yield np.concatenate(parts)
             else:
-                split = [self.find.findall(t) for t in texts[at:end]]
-                self.learn(set(chain.from_iterable(split)))
-                yield from map(self._ids, split)
-            at = end
-
-    def _long(self, text: str) -> np.ndarray:
-        words, parts = (m.group() for m in self.find.finditer(text)), []
-        while pieces := list(islice(words, SLICE)):
-            self.learn(set(pieces))
-            parts.append(self._ids(pieces))
-        return np.concatenate(parts)
+                held.append(self._numbers(self.find.findall(text)))
+                size += len(text)
+        yield from self._taken(held)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes that the ids stand for."""
@@ -231,6 +192,16 @@ class Replay:
         return b"".join(out)
 
 
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch in pieces of about ``TOGETHER`` bytes of a column."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    piece = np.cumsum(size) // TOGETHER
+    edges = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        if high > low:
+            yield batch.slice(low, high - low)
+
+
 _BUILT: dict[str, Replay] = {}
 
 
@@ -247,29 +218,57 @@ class Tokenizer:
 
     def __init__(self, spark: SparkSession, path: str, pattern: str) -> None:
         ranks = read_ranks(path)
-        sent, key = spark.sparkContext.broadcast(ranks), hashlib.sha256(repr((pattern, sorted(ranks.items()))).encode()).hexdigest()
+        self._sent, self._key, self._pattern = spark.sparkContext.broadcast(ranks), hashlib.sha256(repr((pattern, sorted(ranks.items()))).encode()).hexdigest(), pattern
+
+    def _mapped(self, docs: DataFrame, source: Column, names: dict[str, T.DataType], make) -> DataFrame:  # noqa: ANN001
+        """``docs`` with the columns ``names`` that ``make`` gives for slices of ``source``; columns so called are replaced."""
+        key, sent, pattern = self._key, self._sent, self._pattern
+        own = {n.lower(): n for n in names}
+        kept = [c for c in docs.columns if c.lower() not in own]
+        places = [f"c{i}" for i in range(len(kept))]
+        read = docs.select(*(F.col(f"`{c}`").alias(p) for c, p in zip(kept, places, strict=True)), source.alias("source"))
+        schema = T.StructType([*read.schema.fields[:-1], *(T.StructField(f"n{i}", kind) for i, kind in enumerate(names.values()))])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            built = _built(key, sent, pattern)
+            for batch in batches:
+                for part in _slices(batch, len(places)):
+                    yield pa.RecordBatch.from_arrays([*part.columns[: len(places)], *make(built, part.column(len(places)))], schema.names)
+            built.forget()  # the worker may go on to other stages
+
+        order = [own.get(c.lower(), c) for c in docs.columns]
+        made = read.mapInArrow(run, schema).toDF(*kept, *names)
+        return made.select(*(F.col(f"`{c}`") for c in [*order, *(n for n in names if n not in order)]))
+
+    def encode(self, docs: DataFrame, text_col: str = "text", name: str = "ids", decoded: str | None = None) -> DataFrame:
+        """``docs`` with the token ids of each whole text in the array column ``name`` (replaced if it exists).
 
-        @F.arrow_udf("array<int>")
-        def encode(text: pa.Array) -> pa.Array:
-            found = list(_built(key, sent, pattern).encode(["" if x is None else x for x in text.to_pylist()]))
-            ends = np.cumsum([0, *map(len, found)])
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*found, np.zeros(0, np.int32)]), pa.int32()))
+        Each match of the pattern is encoded by itself and special tokens are plain text. With ``decoded`` given, a column of
+        that name holds the bytes that the decoder makes of these ids. A null or empty text has no ids; rows may repeat; an
+        empty table stays empty.
+        """
+
+        def make(own: Replay, text: pa.Array) -> Iterator[pa.Array]:
+            found = list(own.encode(["" if x is None else x for x in text.to_pylist()]))
+            yield _lists(found)
+            if decoded:
+                yield pa.array([own.decode(x) for x in found], pa.binary())
+
+        kinds = {name: T.ArrayType(T.IntegerType())} | ({decoded: T.BinaryType()} if decoded else {})
+        return self._mapped(docs, F.col(text_col).cast("string"), kinds, make)
+
+    def decode(self, docs: DataFrame, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
+        """``docs`` with the bytes that the ids stand for in ``name`` (replaced if it exists); null ids give none."""
+        key, sent, pattern = self._key, self._sent, self._pattern
 
         @F.arrow_udf("binary")
         def decode(ids: pa.Array) -> pa.Array:
             own = _built(key, sent, pattern)
             return pa.array([own.decode(x.values.to_numpy()) if x.is_valid and len(x.values) else b"" for x in ids], pa.binary())
 
-        self._encode, self._decode = encode, decode
+        return docs.withColumn(name, decode(F.col(ids_col)))
 
-    def encode(self, docs: DataFrame, text_col: str = "text", name: str = "ids") -> DataFrame:
-        """``docs`` with the token ids of each whole text in the array column ``name`` (replaced if it exists).
-
-        Each match of the pattern is encoded by itself and special tokens are plain text. A null or empty text has no ids;
-        rows may repeat; an empty table stays empty.
-        """
-        return docs.withColumn(name, self._encode(F.col(text_col).cast("string")))
 
-    def decode(self, docs: DataFrame, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
-        """``docs`` with the bytes that the ids stand for in ``name`` (replaced if it exists); null ids give none."""
-        return docs.withColumn(name, self._decode(F.col(ids_col)))
+def _lists(found: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, found)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*found, np.zeros(0, np.int32)]), pa.int32()))

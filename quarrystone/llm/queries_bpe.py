@@ -17,6 +17,6 @@ def tokenizer(spark: SparkSession, path: str | None = None) -> bpe.Tokenizer:
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = tokenizer(spark)
-    made = own.decode(own.encode(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
+    made = own.encode(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), decoded="decoded")
     joined = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -134,12 +134,9 @@ def hard_texts():
 def test_replay_equals_the_library(plain, monkeypatch):
     own = bpe.Replay(plain._mergeable_ranks, public_tokenizers.PATTERN)
     texts = hard_texts()
-    for steps in (1, bpe.STEP):
-        monkeypatch.setattr(bpe, "STEP", steps)
-        own.forget()
-        ids = list(own.encode(texts))
-        assert [i.tolist() for i in ids] == plain.encode_ordinary_batch(texts)
-        assert [own.decode(i).decode() for i in ids] == texts
+    ids = list(own.encode(texts))
+    assert [i.tolist() for i in ids] == plain.encode_ordinary_batch(texts)
+    assert [own.decode(i).decode() for i in ids] == texts
     monkeypatch.setattr(bpe, "REMEMBERED", 50)
     monkeypatch.setattr(bpe, "TOGETHER", 1000)
     monkeypatch.setattr(bpe, "SLICE", 100)
@@ -147,21 +144,46 @@ def test_replay_equals_the_library(plain, monkeypatch):
 
 
 def test_replay_keeps_rank_order_in_odd_vocabularies():
-    ranks = {bytes([i]): i for i in range(256)} | {b"bc": 256, b"abc": 257, b"ab": 258, b"cd": 259, b"abcd": 260, b"aab": 261, b"aa": 262}
-    odd = tiktoken.Encoding("odd", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
-    own = bpe.Replay(ranks, r"\S+|\s+")
+    bytes_first = {bytes([i]): i for i in range(256)}
     rng = random.Random(1)
-    texts = ["".join(rng.choice("abcd") for _ in range(n)) for n in range(1, 200)]
-    assert [i.tolist() for i in own.encode(texts)] == [odd.encode_ordinary(t) for t in texts]
+    kinds = [{b"bc": 256, b"abc": 257, b"ab": 258, b"cd": 259, b"abcd": 260, b"aab": 261, b"aa": 262}, {b"aba": 256, b"ab": 258, b"ba": 257}, {}]
+    for _ in range(12):  # ranks in no order of growth, where a merge may bring up an earlier one
+        made = sorted({"".join(rng.choice("abc") for _ in range(rng.randrange(2, 6))).encode() for _ in range(40)})
+        rng.shuffle(made)
+        kinds.append({t: 256 + i for i, t in enumerate(made)})
+    for kind in kinds:
+        ranks = bytes_first | kind
+        odd = tiktoken.Encoding("odd", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={}) if len(ranks) == max(ranks.values()) + 1 else None
+        own = bpe.Replay(ranks, r"\S+|\s+")
+        texts = ["".join(rng.choice("abcd") for _ in range(n)) for n in range(1, 120)] + ["a" * 500, "ab" * 300]
+        want = [odd.encode_ordinary(t) for t in texts] if odd else [plain_merges(ranks, t.encode()) for t in texts]
+        assert [i.tolist() for i in own.encode(texts)] == want == [plain_merges(ranks, t.encode()) for t in texts]
+
+
+def plain_merges(ranks, word):
+    """The lowest rank first, the leftmost of equal ones, one at a time."""
+    if word in ranks:
+        return [ranks[word]]
+    parts = [bytes([b]) for b in word]
+    while True:
+        best = min(((ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks), default=None)
+        if best is None:
+            return [ranks[p] for p in parts]
+        i = best[1]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
 
 def test_tokenizer_columns(spark, plain):
-    texts = [(i, t, "x") for i, t in enumerate(hard_texts()[:80])] + [(None, None, None)]
-    docs = spark.createDataFrame(texts, "doc_id long, text string, ids string")
+    texts = [(i, t, "x", i, "y") for i, t in enumerate(hard_texts()[:80])] + [(None, None, None, None, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, IDS string, source long, `a.b` string")
     own = queries_bpe.tokenizer(spark)
     rows = own.decode(own.encode(docs)).collect()
     assert all(list(r.ids) == plain.encode_ordinary(r.text or "") and bytes(r.decoded) == (r.text or "").encode() for r in rows)
     assert len(rows) == 81 and own.encode(docs.limit(0)).count() == 0
+    made = own.encode(docs, decoded="decoded")
+    assert made.columns == ["doc_id", "text", "ids", "source", "a.b", "decoded"] and sum("MapInArrow" in x for x in made._jdf.queryExecution().executedPlan().toString().split("\n")) == 1
+    both = made.collect()
+    assert sorted((r.doc_id or -1, list(r.ids), bytes(r.decoded), r.source, r["a.b"]) for r in both) == sorted((r.doc_id or -1, list(r.ids), bytes(r.decoded), r.source, r["a.b"]) for r in rows)
 
 
 # ---------------------------------------------------------------- toxicity
