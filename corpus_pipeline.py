@@ -1,11 +1,13 @@
 """The corpus pipeline: five operators over ``documents``, each stage written as Parquet and read again by the next.
 
-All stages but the last return the columns of ``documents``; the last adds the token ids.
+All stages but the last return the columns of ``documents``; the last adds the token ids
+and the text decoded from them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarrystone.llm import lines, mixing, scratch, simhash, toxicity
 from quarrystone.llm.queries_bpe import tokenizer
@@ -37,8 +39,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their token ids in ``ids``."""
-    return tokenizer(spark).encode(docs)
+    """Documents with their token ids in ``ids`` and, in ``decoded``, the text that the decoder makes of these."""
+    made = tokenizer(spark).encode(docs, decoded="decoded")
+    return made.withColumn("decoded", F.col("decoded").cast("string"))
 
 
 STAGES = [("toxicity", reject_toxic), ("line dedup", dedup_lines), ("SimHash near-dedup", dedup_near), ("mixing sources to target weights", mix), ("byte-level BPE", encode)]
