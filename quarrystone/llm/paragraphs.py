@@ -1,34 +1,32 @@
 """Substring dedup by paragraphs: MinHash banding, exact verification, removal by connected components.
 
-Verbatim passages inside other text, or over several lines, are found by :mod:`quarrystone.llm.passages`. A paragraph is a line of at least ``WORDS`` words. Equal paragraphs (A-Z lower-cased, white space collapsed) are one class.
-Classes whose MinHash signatures agree in a band share a bucket. Buckets are worked off in two passes, so that no pair list
-of a bucket is ever written:
+Verbatim passages inside other text, or over several lines, are found by :mod:`quarrystone.llm.passages`. A paragraph is a line
+of at least ``WORDS`` words. Equal paragraphs (A-Z lower-cased, white space collapsed) are one class. Classes whose MinHash
+signatures agree in a band share a bucket. Buckets are worked off in two passes, so that no pair list of a bucket is ever written:
 
-1. every class of a bucket is verified against the bucket's smallest class, and what links is united;
-2. buckets that still hold classes of different components are compared member by member inside tasks, in chunks where a
-   bucket is large, skipping pairs already united, and each task returns only links that unite two components.
+1. every class of a bucket is verified against the bucket's most frequent class, and what links is united;
+2. buckets that still hold classes of different components are gone through again: those outside the bucket's largest component
+   are compared with all its classes inside tasks, in chunks where a bucket is large, skipping pairs already united, and each
+   task returns only links that unite two components.
 
 Pass 1 settles groups of near copies however large; pass 2 sees the rest, so that every link between two classes that share a
-bucket takes effect. Shingles are fetched only for classes that share a bucket at all. Joins on hot keys are between written
-tables, where adaptive execution splits them.
+bucket takes effect. Shingles are fetched only for classes that share a bucket at all, once. Joins on hot keys are between
+written tables, where adaptive execution splits them.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrystone.llm import passages, scratch
+from quarrystone.llm import passages, pieces, scratch
 from quarrystone.llm.components import components
 
 WORDS, WIDTH, SIMILARITY, RECALL, BANDS, CHUNK = 20, 5, 0.8, 0.9995, 24, 512
-SLICE = 1 << 16
 Norm = list[bytes]
 
 
@@ -55,37 +53,6 @@ def paragraphs(text: str | None, least: int = WORDS) -> Iterator[tuple[int, int,
         at += len(line) + 1
 
 
-def shingles(words: Norm, width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles; fewer words than ``width`` make one."""
-    w = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    width = min(width, len(words))
-    h = np.zeros(len(words) - width + 1, np.uint64)
-    for j in range(width):
-        h = (h ^ w[j : j + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-    return np.unique(h)
-
-
-def _permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(64)
-    return rng.integers(1, 2**63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 2**63, count, dtype=np.uint64)
-
-
-def band_keys(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One 64-bit bucket key a band."""
-    times, plus = _permutations(bands * rows)
-    least = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), SLICE):
-        mixed = hashes[at : at + SLICE, None] * times + plus
-        mixed ^= mixed >> np.uint64(32)
-        least = np.minimum(least, (mixed * np.uint64(0x94D049BB133111EB)).min(axis=0))
-    key = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
-    for column in least.reshape(bands, rows).T:
-        key = (key ^ column) * np.uint64(0x9E3779B97F4A7C15)
-        key ^= key >> np.uint64(31)
-    return key
-
-
 def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     """Whether the exact Jaccard similarity of two sorted sets reaches the threshold."""
     small, large = sorted((len(a), len(b)))
@@ -95,53 +62,8 @@ def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return both >= similarity * (len(a) + len(b) - both)
 
 
-def units(docs: DataFrame, id_col: str, text_col: str, least: int, bands: int, rows: int) -> DataFrame:
-    """(doc, line, start, end, key, buckets binary): every paragraph."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    names = ["doc", "line", "start", "end", "key", "buckets"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, bytes] = {}
-        for batch in batches:
-            out: list[list] = [[] for _ in names]
-            if len(known) > 100_000:
-                known.clear()
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for number, start, end, words in paragraphs(text.as_py(), least):
-                    key = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
-                    if key not in known:
-                        known[key] = band_keys(shingles(words), bands, rows).tobytes()
-                    for column, value in zip(out, (doc, number, start, end, key, known[key]), strict=True):
-                        column.append(value)
-            kinds = (batch.column(0).type, pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
-
-    return docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"doc {kind}, line int, start long, end long, key binary, buckets binary")
-
-
-def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, least: int) -> DataFrame:
-    """(node, grams binary) for the classes in ``wanted`` (node, doc, line), from the texts."""
-    lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("line", "node")).alias("lines"))  # no more than the lines of one document
-    texts = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).cast("string").alias("text"))
-    texts = texts.join(lists, texts["__doc"].eqNullSafe(lists["doc"])).select("text", "lines")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, grams = [], []
-            for text, lines in zip(batch.column(0), batch.column(1), strict=True):
-                whole = (text.as_py() or "").split("\n")
-                for x in lines.as_py():
-                    words = whole[x["line"]].encode().lower().split() if x["line"] < len(whole) else []
-                    if len(words) >= least:
-                        nodes.append(x["node"])
-                        grams.append(shingles(words).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(grams, pa.binary())], ["node", "grams"])
-
-    return texts.mapInArrow(run, "node long, grams binary")
-
-
-def _bucket(node: np.ndarray, root: np.ndarray, chunk: np.ndarray, sets: list[np.ndarray], across: bool, similarity: float) -> list[tuple[int, int]]:
-    """Links that join components which meet in one bucket, or, with ``across``, in two chunks of it: (node, smaller node)."""
+def _bucket(node: np.ndarray, root: np.ndarray, side: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links that join components which meet in one bucket, of its rows on side 1 with all rows: (node, other node)."""
     group = {r: r for r in root.tolist()}
 
     def top(r: int) -> int:
@@ -151,12 +73,10 @@ def _bucket(node: np.ndarray, root: np.ndarray, chunk: np.ndarray, sets: list[np
         return r
 
     found = []
-    size = np.array([len(s) for s in sets])
-    for i in range(len(node) - 1):
-        fits = (size[i + 1 :] >= similarity * size[i]) & (similarity * size[i + 1 :] <= size[i]) & (root[i + 1 :] != root[i])
-        if across:
-            fits &= chunk[i + 1 :] != chunk[i]
-        for j in np.flatnonzero(fits) + i + 1:
+    size = np.array([len(x) for x in sets])
+    for i in np.flatnonzero(side).tolist():
+        fits = (size >= similarity * size[i]) & (similarity * size <= size[i]) & (root != root[i])
+        for j in np.flatnonzero(fits).tolist():
             x, y = top(int(root[i])), top(int(root[j]))
             if x != y and alike(sets[i], sets[j], similarity):
                 group[max(x, y)] = min(x, y)
@@ -165,15 +85,15 @@ def _bucket(node: np.ndarray, root: np.ndarray, chunk: np.ndarray, sets: list[np
 
 
 def _compared(rest: DataFrame, similarity: float) -> DataFrame:
-    """(u, v) links of all groups of ``rest`` (bucket, a, b, node, root, chunk, grams): rows of a group are brought together
+    """(u, v) links of all groups of ``rest`` (bucket, a, b, node, root, side, grams): rows of a group are brought together
     and sorted, and a task goes through its groups one after another, holding no more than two chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def close() -> list[tuple[int, int]]:
-            node, root, chunk = (np.array([h[k] for h in held], np.int64) for k in (3, 4, 5))
-            return _bucket(node, root, chunk, [np.frombuffer(h[6], np.uint64) for h in held], held[0][1] != held[0][2], similarity)
+            node, root, side = (np.array([h[k] for h in held], np.int64) for k in (3, 4, 5))
+            return _bucket(node, root, side, [np.frombuffer(h[6], np.uint64) for h in held], similarity)
 
         def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["u", "v"])
@@ -189,68 +109,114 @@ def _compared(rest: DataFrame, similarity: float) -> DataFrame:
         if held:
             yield out(close())
 
-    columns = ["bucket", "a", "b", "node", "root", "chunk", "grams"]
+    columns = ["bucket", "a", "b", "node", "root", "side", "grams"]
     return rest.select(columns).repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b", "node").mapInArrow(run, "u long, v long")
 
 
-def clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = WORDS, similarity: float = SIMILARITY, chunk: int = CHUNK) -> DataFrame:
-    """(doc, line, start, end, cluster_doc, cluster_line, kept): the paragraphs that have an equal or near copy.
+def _candidates(found: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A scan's lines without their bands, the classes of lines (key, first place, n, node), and the members (bucket, node, n) of the
+    buckets that several classes share."""
+    lines = found.where("line IS NOT NULL")
+    plain = scratch.keep(lines.select("doc", "line", F.col("start").cast("long"), F.col("end").cast("long"), "key"), "paragraph-lines")
+    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "line", "t")
+    classes = scratch.keep(lines.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("n")).withColumn("node", F.monotonically_increasing_id()), "paragraph-classes")
+    each = lines.where("buckets IS NOT NULL").select(F.xxhash64("key").alias("h"), F.explode("buckets").alias("bucket"))  # h stands for the key until members are few
+    shared = scratch.keep(each.groupBy("bucket").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low != high").select("bucket"), "paragraph-buckets")
+    some = scratch.keep(each.join(shared, "bucket").groupBy("bucket", "h").agg(F.count("*").alias("times")).drop("times"), "paragraph-some")
+    wanted = scratch.keep(some.select("h").distinct().join(classes.select(F.xxhash64("key").alias("h"), "node", "n"), "h"), "paragraph-nodes")
+    members = scratch.keep(some.join(wanted, "h").select("bucket", "node", "n"), "paragraph-members")
+    scratch.drop(shared, some, wanted)
+    return plain, classes, members
 
-    Two paragraphs are near copies if the Jaccard similarity of their word shingles is ``similarity`` or more; a cluster is a
-    component under this relation among paragraphs found by the bands. It is named by its first paragraph, by document and
-    line, which alone is kept. Start and end are code points, end exclusive. Paragraphs without a copy are absent. A null
-    text is empty; rows that repeat a document repeat its paragraphs, of which all at the first place are kept; a null id
-    ranks after all others. Other columns are not read; an empty table gives an empty result.
-    """
-    bands, rows = tune(similarity)
-    found = scratch.keep(units(docs, id_col, text_col, least, bands, rows), "paragraphs")
-    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "line")
-    classes = found.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.first("buckets").alias("buckets"))
-    classes = scratch.keep(classes.withColumn("node", F.monotonically_increasing_id()), "paragraph-classes")
 
-    def split(buckets: pa.Array) -> pa.Array:
-        return pa.array([np.frombuffer(x.as_py(), np.int64) for x in buckets], pa.list_(pa.int64()))
-
-    each = classes.select("node", F.explode(F.arrow_udf(split, "array<bigint>")("buckets")).alias("bucket"))
-    shared = scratch.keep(each.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1"), "paragraph-buckets")
-    members = scratch.keep(each.join(shared, "bucket"), "paragraph-members")
-    wanted = scratch.keep(members.select("node").distinct().join(classes.select("node", "first.doc", "first.line"), "node"), "paragraph-wanted")
-    sets = scratch.keep(_sets(docs, id_col, text_col, wanted, least).dropDuplicates(["node"]), "paragraph-sets")
+def _linked(members: DataFrame, sets: DataFrame, similarity: float, chunk: int) -> DataFrame:
+    """(node, component) of the classes that link with another of their bucket."""
 
     def verify(x: pa.Array, y: pa.Array) -> pa.Array:
-        return pa.array([alike(np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64), similarity) for a, b in zip(x, y, strict=True)], pa.bool_())
+        (a, a_at), (b, b_at) = pieces.flat(x, np.uint64), pieces.flat(y, np.uint64)
+        return pa.array([alike(a[i:j], b[k:m], similarity) for i, j, k, m in zip(a_at[:-1], a_at[1:], b_at[:-1], b_at[1:], strict=True)], pa.bool_())
 
-    pairs = scratch.keep(members.where("node != leader").select("node", "leader").distinct(), "paragraph-pairs")
+    leaders = members.groupBy("bucket").agg(F.min(F.struct((-F.col("n")).alias("n"), "node")).alias("leader")).select("bucket", F.col("leader.node").alias("leader"))
+    pairs = scratch.keep(members.join(scratch.keep(leaders, "paragraph-leaders"), "bucket").where("node != leader").select("node", "leader").distinct(), "paragraph-pairs")
     one = scratch.keep(pairs.join(sets, "node"), "paragraph-left")
     both = one.join(sets.select(F.col("node").alias("leader"), F.col("grams").alias("others")), "leader")
     links = scratch.keep(both.where(F.arrow_udf(verify, "boolean")("grams", "others")).select(F.col("node").alias("u"), F.col("leader").alias("v")), "paragraph-links")
+    scratch.drop(pairs, one)
     roots = scratch.keep(components(links), "paragraph-roots")
-    placed = members.select("bucket", "size", "node").join(roots, "node", "left").select("bucket", "size", "node", F.coalesce("component", "node").alias("root"))
+    placed = members.select("bucket", "node").join(roots, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("root"))
     placed = scratch.keep(placed, "paragraph-placed")
     # buckets of several bands often hold the same classes: one of those with equal members (by 128 bits) stands for all
-    members_hash = [F.bit_xor(F.xxhash64(*k)).alias(n) for n, k in (("x", ["node"]), ("y", ["node", F.lit("again")]))]
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"), *members_hash).where("low != high")
-    mixed = scratch.keep(mixed.groupBy("x", "y", "n").agg(F.min("bucket").alias("bucket")).select("bucket"), "paragraph-mixed")
-    rest = placed.join(mixed, "bucket").join(sets, "node")
-    chunks = F.ceil(F.col("size") / chunk).cast("int")
-    rest = rest.withColumns({"chunks": chunks, "chunk": F.pmod(F.xxhash64("node"), chunks).cast("int")}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rest = rest.select("bucket", "node", "root", "grams", "chunk", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"))
-    final = components(links.unionByName(_compared(rest, similarity)))
-    named = classes.select("node", "key", "first", "n").join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    marks = [F.bit_xor(F.xxhash64(*k)).alias(n) for n, k in (("x", ["node"]), ("y", ["node", F.lit("again")]))]
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"), *marks).where("low != high")
+    mixed = scratch.keep(mixed.groupBy("x", "y", "size").agg(F.min("bucket").alias("bucket")).select("bucket", "size"), "paragraph-mixed")
+    rest = scratch.keep(placed.join(mixed, "bucket"), "paragraph-rest")
+    largest = rest.groupBy("bucket", "root").agg(F.count("*").alias("own")).groupBy("bucket").agg(F.max(F.struct("own", "root")).alias("most"))
+    largest = scratch.keep(largest.select("bucket", F.col("most.own").alias("own"), F.col("most.root").alias("main")), "paragraph-largest")
+    cut = rest.join(largest, "bucket").withColumns({"chunks": F.ceil(F.col("size") / chunk).cast("int"), "parts": F.ceil((F.col("size") - F.col("own")) / chunk).cast("int")})
+    every = cut.select("bucket", "node", "root", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("b"), F.lit(0).alias("side"))
+    outer = cut.where("root != main").select("bucket", "node", "root", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("a"), F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("b"), F.lit(1).alias("side"))
+    dealt = every.unionByName(outer).join(sets, "node")
+    out = scratch.keep(components(links.unionByName(_compared(dealt, similarity))), "paragraph-components")
+    scratch.drop(links, roots, placed, mixed, rest, largest)
+    return out
+
+
+def _named(lines: DataFrame, classes: DataFrame, linked: DataFrame) -> DataFrame:
+    """(doc, line, start, end, cluster_doc, cluster_line, kept) of the lines whose class has copies or links."""
+    named = classes.select("node", "key", "first", "n").join(linked, "node", "left").where("component IS NOT NULL OR n > 1").withColumn("component", F.coalesce("component", "node"))
     named = scratch.keep(named, "paragraph-named")
-    heads = scratch.keep(named.groupBy("component").agg(F.min("first").alias("head"), F.sum("n").alias("all")).where(F.col("all") > 1), "paragraph-heads")
+    heads = scratch.keep(named.groupBy("component").agg(F.min("first").alias("head")), "paragraph-heads")
     labels = scratch.keep(named.join(heads, "component").select("key", F.col("head.doc").alias("cluster_doc"), F.col("head.line").alias("cluster_line")), "paragraph-labels")
-    out = found.select("doc", "line", "start", "end", "key").join(labels, "key")
+    out = lines.join(labels, "key")
     kept = F.col("doc").eqNullSafe(F.col("cluster_doc")) & (F.col("line") == F.col("cluster_line"))
     return out.select("doc", "line", "start", "end", "cluster_doc", "cluster_line", kept.alias("kept"))
 
 
+def _wanted(classes: DataFrame, members: DataFrame) -> DataFrame:
+    """(doc, t, line, key, node): where the shingles of the members' classes are to be looked up."""
+    return members.select("node").distinct().join(classes, "node").select("first.doc", "first.t", "first.line", "key", "node")
+
+
+def clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = WORDS, similarity: float = SIMILARITY, chunk: int = CHUNK) -> DataFrame:
+    """(doc, line, start, end, cluster_doc, cluster_line, kept): the paragraphs that have an equal or near copy.
+
+    Two paragraphs are near copies if the Jaccard similarity of their word shingles is ``similarity`` or more; a cluster is a
+    component under this relation among paragraphs found by the bands. It is named by its first paragraph, by document and
+    line, which alone is kept. Start and end are code points, end exclusive. Paragraphs without a copy are absent. A null
+    text is empty; rows that repeat a document repeat its paragraphs, of which all at the first place are kept; rows that share
+    an id but not the text are compared each with its own text; a null id ranks after all others. ``least`` is at least
+    ``WIDTH``. Other columns are not read; an empty table gives an empty result.
+    """
+    bands, rows = tune(similarity)
+    texts = pieces.texts(docs, id_col, text_col)
+    found = scratch.keep(pieces.scan(texts, max(least, WIDTH), WIDTH, bands, rows, None, 0), "paragraphs")
+    lines, classes, members = _candidates(found)
+    scratch.drop(found)
+    sets = scratch.keep(pieces.look_up(texts, _wanted(classes, members), None, WIDTH, 0).select("node", "grams").dropDuplicates(["node"]), "paragraph-sets")
+    return _named(lines, classes, _linked(members, sets, similarity, chunk))
+
+
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of :func:`clusters`, and those of :func:`passages.repeated` with a null line: a passage keeps to no line."""
-    found = passages.repeated(docs, id_col, text_col)
+    """The rows of :func:`clusters`, and those of :func:`passages.repeated` with a null line: a passage keeps to no line.
+
+    Both come from one scan of the texts and one look-up.
+    """
+    bands, rows = tune()
+    texts = pieces.texts(docs, id_col, text_col)
+    found = scratch.keep(pieces.scan(texts, WORDS, WIDTH, bands, rows, passages.SPAN, passages.GRAM), "paragraphs")
+    lines, classes, members = _candidates(found)
+    runs = passages.marked(found)
+    scratch.drop(found)
+    wanted = scratch.keep(_wanted(classes, members), "paragraph-wanted")
+    looked = scratch.keep(pieces.look_up(texts, wanted, runs, WIDTH, passages.SPAN), "paragraph-looked-up")
+    scratch.drop(wanted, runs)
+    spans = passages.compared(looked.where("anchor IS NOT NULL"))
+    sets = scratch.keep(looked.where("node IS NOT NULL").select("node", "grams").dropDuplicates(["node"]), "paragraph-sets")
+    scratch.drop(looked)
+    linked = _linked(members, sets, SIMILARITY, CHUNK)
     none = F.lit(None).cast("int")
-    found = found.select("doc", none.alias("line"), "start", "end", "cluster_doc", none.alias("cluster_line"), "kept")
-    return clusters(docs, id_col, text_col).unionByName(found)
+    spans = spans.select("doc", none.alias("line"), "start", "end", "cluster_doc", none.alias("cluster_line"), "kept")
+    return _named(lines, classes, linked).unionByName(spans)
 
 
 def without_copies(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -16,161 +16,138 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrystone.llm import scratch
+from quarrystone.llm import pieces, scratch
 
 SPAN, GRAM = 50, 26
-_BASE = 0x9E3779B97F4A7C15
-_WHITE = np.zeros(256, bool)
-_WHITE[list(b" \t\n\r\x0b\x0c")] = True
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers(count: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64."""
-    if len(_POWERS[0]) < count:
-        size = max(count, 1 << 16)
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            _POWERS[k] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, base, np.uint64)]), dtype=np.uint64)
-    return _POWERS
-
-
-def hashed(words: list[bytes]) -> np.ndarray:
-    """Prefix sums from which the hash of any stretch of words follows."""
-    w = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(w * _powers(len(w))[0][: len(w)], dtype=np.uint64)])
-
-
-def windows(sums: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit hash for each stretch of ``width`` words."""
-    count = len(sums) - width
-    x = (sums[width:] - sums[:-width]) * _powers(count)[1][:count]
-    for shift, times in ((33, 0xFF51AFD7ED558CCD), (29, 0xC4CEB9FE1A85EC53)):
-        x ^= x >> np.uint64(shift)
-        x *= np.uint64(times)
-    return x ^ (x >> np.uint64(32))
-
-
-def anchors(sums: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first window, number of windows, place of the first window before the anchor's end) of each anchor's run."""
-    g, wide = windows(sums, gram), span - gram + 1
-    best = np.lib.stride_tricks.sliding_window_view(g, wide).argmin(axis=1) + np.arange(len(g) - wide + 1)
-    first = np.concatenate([[0], np.flatnonzero(np.diff(best)) + 1])
-    return g[best[first]].view(np.int64), first, np.diff(np.append(first, len(best))), wide - 1 - (best[first] - first)
 
 
 def borders(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every word in code points."""
-    data = np.frombuffer(raw, np.uint8)
-    white = np.concatenate([[True], _WHITE[data], [True]])
-    start, end = np.flatnonzero(white[:-1] & ~white[1:]), np.flatnonzero(~white[:-1] & white[1:])
-    chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    return chars[start], chars[end]
+    found = pieces.Layout(raw)
+    return found.start, found.end
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, t, text): the text's hash tells apart rows whose ids are null or the same."""
-    text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("t"), text.alias("text")).where("text IS NOT NULL")
+def _place() -> F.Column:
+    return F.struct(F.col("doc").isNull().alias("none"), "doc", "t", "at")
 
 
-def _occurrences(texts: DataFrame, span: int, gram: int) -> DataFrame:
-    """(anchor, doc, t, at, n, first): the runs of windows that share an anchor."""
-    kind = texts.schema["doc"].dataType.simpleString()
-    names = ["anchor", "doc", "t", "at", "n", "first"]
+def marked(found: DataFrame) -> DataFrame:
+    """The runs of a scan whose anchors occur at several places, the first place of each anchor with ``lead`` set."""
+    some = found.where("anchor IS NOT NULL").select("anchor", "doc", "t", "at", "n", "first")
+    shared = scratch.keep(some.groupBy("anchor").agg(F.count("*").alias("count")).where("count > 1").select("anchor"), "passage-shared")
+    held = scratch.keep(some.join(shared, "anchor"), "passage-held")
+    leaders = scratch.keep(held.groupBy("anchor").agg(F.min(_place()).alias("leader")), "passage-first")
+    out = scratch.keep(held.join(leaders, "anchor").select("anchor", "doc", "t", "at", "n", "first", (_place() == F.col("leader")).alias("lead")), "passage-wanted")
+    scratch.drop(shared, held, leaders)
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, parts = [], []
-            for i, text in enumerate(batch.column(2)):
-                words = text.as_py().encode().lower().split()
-                if len(words) >= span:
-                    parts.append(anchors(hashed(words), span, gram))
-                    rows.append(np.full(len(parts[-1][0]), i))
-            if parts:
-                of = pa.array(np.concatenate(rows))
-                anchor, at, n, first = (np.concatenate(x) for x in zip(*parts, strict=True))
-                columns = [pa.array(anchor), batch.column(0).take(of), batch.column(1).take(of), *(pa.array(x.astype(np.int32)) for x in (at, n, first))]
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-    return texts.mapInArrow(run, f"anchor long, doc {kind}, t long, at int, n int, first int")
-
-
-def _members(texts: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
-    """(anchor, doc, t, at, first, lead, hashes, starts, ends): the windows of the wanted runs."""
-    kind = texts.schema["doc"].dataType.simpleString()
-    names = ["anchor", "doc", "t", "at", "first", "lead", "hashes", "starts", "ends"]
-    lists = wanted.groupBy("doc", "t").agg(F.collect_set(F.struct("anchor", "at", "n", "first", "lead")).alias("runs"))  # of one document
-    both = texts.join(lists.withColumnsRenamed({"doc": "__doc", "t": "__t"}), F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("t") == F.col("__t")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 64):
-                part = batch.slice(low, 64)
-                out: list[list] = [[] for _ in names]
-                of = []
-                for i, (text, runs) in enumerate(zip(part.column(2), part.column(3), strict=True)):
-                    raw = text.as_py().encode()
-                    h = windows(hashed(raw.lower().split()), span)
-                    start, end = (x.astype(np.int32) for x in borders(raw))
-                    for r in runs.as_py():
-                        a, b = r["at"], r["at"] + r["n"]
-                        of.append(i)
-                        for k, x in ((0, r["anchor"]), (3, a), (4, r["first"]), (5, r["lead"]), (6, h[a:b].tobytes()), (7, start[a:b].tobytes()), (8, end[a + span - 1 : b + span - 1].tobytes())):
-                            out[k].append(x)
-                took = pa.array(of, pa.int64())
-                kinds = (pa.int64(), None, None, pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(k - 1).take(took) if k in (1, 2) else pa.array(out[k], kinds[k]) for k in range(len(names))], names)
-
-    return both.select("doc", "t", "text", "runs").mapInArrow(run, f"anchor long, doc {kind}, t long, at int, first int, lead boolean, hashes binary, starts binary, ends binary")
-
-
-def _same(first: pa.Array, hashes: pa.Array, lead_first: pa.Array, lead_hashes: pa.Array) -> pa.Array:
-    """Bits, by place before the anchor's end, of the windows that equal the leader's."""
-    out = []
-    for f, h, g, k in zip(first.to_pylist(), hashes, lead_first.to_pylist(), lead_hashes, strict=True):
-        h, k = np.frombuffer(h.as_py(), np.int64), np.frombuffer(k.as_py(), np.int64)
-        low, high = max(f, g), min(f + len(h), g + len(k))
-        same = np.flatnonzero(h[low - f : high - f] == k[low - g : high - g]) + low if low < high else ()
-        out.append(sum(1 << int(j) for j in same))
-    return pa.array(out, pa.int64())
-
-
-def _merged(pieces: DataFrame) -> DataFrame:
-    """(doc, start, end, cluster_doc, kept): spans of consecutive windows that occur first in one document."""
-    kind = pieces.schema["doc"].dataType.simpleString()
+_SPAN = pa.struct([("low", pa.int32()), ("high", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
+_LEFT = pa.struct([("j", pa.int32()), ("h", pa.int64()), ("at", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
+_SPAN_SQL, _LEFT_SQL = "array<struct<low:int,high:int,start:int,end:int>>", "array<struct<j:int,h:bigint,at:int,start:int,end:int>>"
+
+
+def _lists(row: np.ndarray, count: int, kind: pa.StructType, *columns: np.ndarray) -> pa.ListArray:
+    """A list of structs for each of ``count`` rows, from the structs' rows and columns."""
+    made = pa.StructArray.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(columns, kind, strict=True)], fields=list(kind))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=count))]).astype(np.int32)), made)
+
+
+def _spans(at: np.ndarray, row: np.ndarray, i: np.ndarray, chosen: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    """The stretches of consecutive windows that are chosen, for each row."""
+    held = np.flatnonzero(chosen)
+    of, window = row[held], at[row[held]] + i[held]
+    low = np.concatenate([[True], (of[1:] != of[:-1]) | (window[1:] != window[:-1] + 1)])[: len(held)]
+    high = np.concatenate([low[1:], [True]])[: len(held)]
+    return _lists(of[low], len(at), _SPAN, window[low], window[high], starts[held[low]], ends[held[high]])
+
+
+def _settle(at: pa.Array, first: pa.Array, hashes: pa.Array, starts: pa.Array, ends: pa.Array, lead_first: pa.Array, lead_hashes: pa.Array) -> pa.Array:
+    """Of each run: bits, by place before the anchor's end, of the windows that equal the leader's, the stretches they make, and
+    the other windows."""
+    p, f, g = (x.to_numpy().astype(np.int64) for x in (at, first, lead_first))
+    (h, h_at), (k, k_at) = pieces.flat(hashes, np.int64), pieces.flat(lead_hashes, np.int64)
+    (a, _), (b, _) = pieces.flat(starts, np.int32), pieces.flat(ends, np.int32)
+    n = np.diff(h_at)
+    row, i = np.repeat(np.arange(len(n)), n), pieces.runs(np.zeros(len(n), np.int64), n)
+    place = f[row] + i
+    there = k_at[row] + place - g[row]
+    inside = (place >= g[row]) & (there < k_at[row + 1])
+    same = np.zeros(len(row), bool)
+    same[inside] = h[inside] == k[there[inside]]
+    out = np.flatnonzero(~same)
+    mask = np.bincount(row[same], np.ldexp(1.0, place[same]), len(n)).astype(np.int64)
+    left = _lists(row[out], len(n), _LEFT, place[out], h[out], p[row[out]] + i[out], a[out], b[out])
+    return pa.StructArray.from_arrays([pa.array(mask), _spans(p, row, i, same, a, b), left], ["mask", "spans", "left"])
+
+
+def _masked(at: pa.Array, first: pa.Array, mask: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
+    """The stretches of windows that the mask holds."""
+    p, f, m = (x.to_numpy().astype(np.int64) for x in (at, first, mask))
+    (a, edge), (b, _) = pieces.flat(starts, np.int32), pieces.flat(ends, np.int32)
+    n = np.diff(edge)
+    row, i = np.repeat(np.arange(len(n)), n), pieces.runs(np.zeros(len(n), np.int64), n)
+    return _spans(p, row, i, (m[row] >> (f[row] + i)) & 1 == 1, a, b)
+
+
+def _merged(found: DataFrame) -> DataFrame:
+    """(doc, start, end, cluster_doc, kept): adjoining stretches (low, high, start, end) that occur first in one document, as one."""
+    kind = found.schema["doc"].dataType.simpleString()
     names = ["doc", "start", "end", "cluster_doc", "kept"]
     key = ["doc", "t", "owner", "owner_t", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple | None = None
-        last = start = end = 0
+        held: list | None = None  # key, last window, start, end
         for batch in batches:
             out = []
-            for *of, at, first, mask, starts, ends in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                starts, ends = np.frombuffer(starts, np.int32).tolist(), np.frombuffer(ends, np.int32).tolist()
-                for i in range(len(starts)):
-                    if not mask >> (first + i) & 1:
-                        continue
-                    if held == tuple(of) and at + i <= last + 1:
-                        last, end = max(last, at + i), max(end, ends[i])
-                        continue
-                    if held is not None:
-                        out.append((held[0], start, end, held[2], held[4]))
-                    held, last, start, end = tuple(of), at + i, starts[i], ends[i]
+            for *of, low, high, start, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held is not None and held[0] == of and low <= held[1] + 1:  # rows may repeat
+                    held[1], held[3] = max(held[1], high), max(held[3], end)
+                    continue
+                if held is not None:
+                    out.append(held)
+                held = [of, high, start, end]
             yield made(out, batch)
         if held is not None:
-            yield made([(held[0], start, end, held[2], held[4])], batch)
+            yield made([held], batch)
 
-    def made(rows: list[tuple], like: pa.RecordBatch) -> pa.RecordBatch:
+    def made(rows: list[list], like: pa.RecordBatch) -> pa.RecordBatch:
         kinds = (like.column(0).type, pa.int64(), pa.int64(), like.column(0).type, pa.bool_())
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], x) for k, x in enumerate(kinds)], names)
-
-    dealt = pieces.select(*key, "at", "first", "mask", "starts", "ends").repartition("doc", "t")
-    return dealt.sortWithinPartitions(*key, "at").mapInArrow(run, f"doc {kind}, start long, end long, cluster_doc {kind}, kept boolean")
+        columns = zip(*((k[0], start, end, k[2], k[4]) for k, _, start, end in rows), strict=True) if rows else [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(columns, kinds, strict=True)], names)
+
+    dealt = found.select(*key, "low", "high", "start", "end").repartition("doc", "t")
+    return dealt.sortWithinPartitions(*key, "low").mapInArrow(run, f"doc {kind}, start long, end long, cluster_doc {kind}, kept boolean")
+
+
+def compared(members: DataFrame) -> DataFrame:
+    """(doc, start, end, cluster_doc, kept) from the looked-up runs of :func:`marked`."""
+    first = members.where("lead").dropDuplicates(["anchor"])
+    leaders = scratch.keep(first.select("anchor", F.col("doc").alias("owner"), F.col("t").alias("owner_t"), F.col("first").alias("lead_first"), F.col("hashes").alias("lead_hashes")), "passage-leaders")
+    both = members.where("NOT lead").select("anchor", "doc", "t", "at", "first", "hashes", "starts", "ends").join(leaders, "anchor")
+    settle = F.arrow_udf(_settle, f"struct<mask:bigint,spans:{_SPAN_SQL},left:{_LEFT_SQL}>")
+    both = both.withColumn("x", settle("at", "first", "hashes", "starts", "ends", "lead_first", "lead_hashes"))
+    settled = scratch.keep(both.select("anchor", "doc", "t", "owner", "owner_t", "x.mask", "x.spans", "x.left"), "passage-compared")
+    scratch.drop(leaders)
+    # a leader's windows that some other occurrence equals
+    masks = settled.groupBy("anchor").agg(F.bit_or("mask").alias("mask")).where("mask != 0")
+    heads = members.where("lead").select("anchor", "doc", "t", "at", "first", "starts", "ends").dropDuplicates(["anchor"]).join(masks, "anchor")
+    heads = heads.select("doc", "t", F.col("doc").alias("owner"), F.col("t").alias("owner_t"), F.lit(True).alias("kept"), F.explode(F.arrow_udf(_masked, _SPAN_SQL)("at", "first", "mask", "starts", "ends")).alias("x"))
+    rest = settled.where(F.size("left") > 0)
+    several = scratch.keep(rest.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "passage-several")
+    rest = scratch.keep(rest.select("anchor", "doc", "t", "left").join(several, "anchor").select("anchor", "doc", "t", F.explode("left").alias("x")).select("anchor", "doc", "t", "x.*"), "passage-rest")
+    again = rest.groupBy("anchor", "j", "h").agg(F.min(_place()).alias("low"), F.max(_place()).alias("high")).where("low != high")
+    again = scratch.keep(again.select("anchor", "j", "h", F.col("low").alias("place")), "passage-again")
+    others = rest.join(again, ["anchor", "j", "h"])
+    others = others.select("doc", "t", F.col("place.doc").alias("owner"), F.col("place.t").alias("owner_t"), (_place() == F.col("place")).alias("kept"), F.col("at").alias("low"), F.col("at").alias("high"), "start", "end")
+    columns = ["doc", "t", "owner", "owner_t", "kept", "x.*"]
+    every = settled.withColumn("kept", F.lit(False)).withColumn("x", F.explode("spans")).select(columns).unionByName(heads.select(columns)).unionByName(others)
+    out = scratch.keep(_merged(every), "passages")
+    scratch.drop(settled, several, rest, again)
+    return out
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:
@@ -181,43 +158,10 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sp
     and kept. Start and end are code points, end exclusive. Rows with equal id and text are one document; a null id ranks
     after all others, and texts are told apart there. A null text is empty; an empty table gives an empty result.
     """
-    texts = _texts(docs, id_col, text_col)
-    found = scratch.keep(_occurrences(texts, span, gram), "passage-anchors")
-    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "t", "at")
-    shared = scratch.keep(found.groupBy("anchor").agg(F.count("*").alias("n"), F.min(place).alias("leader")).where("n > 1").drop("n"), "passage-shared")
-    wanted = scratch.keep(found.join(shared, "anchor").select("anchor", "doc", "t", "at", "n", "first", (place == F.col("leader")).alias("lead")), "passage-wanted")
-    members = scratch.keep(_members(texts, wanted, span), "passage-members")
-    scratch.drop(found, shared, wanted)
-    kept = members.where("lead").dropDuplicates(["anchor"])
-    leaders = scratch.keep(kept.select("anchor", F.col("doc").alias("owner"), F.col("t").alias("owner_t"), F.col("first").alias("lead_first"), F.col("hashes").alias("lead_hashes")), "passage-leaders")
-    compared = members.where("NOT lead").join(leaders, "anchor")
-    compared = compared.withColumn("mask", F.arrow_udf(_same, "bigint")("first", "hashes", "lead_first", "lead_hashes"))
-    compared = scratch.keep(compared.drop("lead", "lead_first", "lead_hashes"), "passage-compared")
-    # a leader's windows that some other occurrence equals
-    masks = compared.groupBy("anchor").agg(F.bit_or("mask").alias("mask")).where("mask != 0")
-    firsts = kept.join(masks, "anchor").withColumns({"owner": F.col("doc"), "owner_t": F.col("t"), "kept": F.lit(True)})
-
-    def left(first: pa.Array, mask: pa.Array, hashes: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
-        out = []
-        for f, m, h, a, b in zip(first.to_pylist(), mask.to_pylist(), hashes, starts, ends, strict=True):
-            h, a, b = np.frombuffer(h.as_py(), np.int64), a.as_py(), b.as_py()
-            out.append([(f + i, int(h[i]), a[4 * i : 4 * i + 4], b[4 * i : 4 * i + 4], i) for i in range(len(h)) if not m >> (f + i) & 1])
-        return pa.array([[dict(zip(("j", "h", "starts", "ends", "i"), x, strict=True)) for x in row] for row in out], pa.list_(_LEFT))
-
-    size = (F.length("hashes") / 8).cast("int")
-    rest = compared.where(F.bit_count("mask") < size)
-    several = rest.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    rest = scratch.keep(rest.join(scratch.keep(several, "passage-several"), "anchor").select("anchor", "doc", "t", "at", F.explode(F.arrow_udf(left, _LEFT_SQL)("first", "mask", "hashes", "starts", "ends")).alias("x")), "passage-rest")
-    rest = rest.select("anchor", "doc", "t", (F.col("at") + F.col("x.i")).alias("at"), "x.j", "x.h", "x.starts", "x.ends")
-    again = rest.groupBy("anchor", "j", "h").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high")
-    again = scratch.keep(again.select("anchor", "j", "h", "low"), "passage-again")
-    others = rest.join(again, ["anchor", "j", "h"]).select("doc", "t", F.col("low.doc").alias("owner"), F.col("low.t").alias("owner_t"), (place == F.col("low")).alias("kept"), "at", F.lit(0).alias("first"), F.lit(1).cast("long").alias("mask"), "starts", "ends")
-    columns = others.columns
-    pieces = compared.where("mask != 0").withColumn("kept", F.lit(False)).select(columns).unionByName(firsts.select(columns)).unionByName(others)
-    out = scratch.keep(_merged(pieces), "passages")
-    scratch.drop(members, leaders, compared)
+    texts = pieces.texts(docs, id_col, text_col)
+    found = scratch.keep(pieces.scan(texts, None, 1, 0, 0, span, gram), "passage-anchors")
+    wanted = marked(found)
+    members = scratch.keep(pieces.look_up(texts, None, wanted, 1, span), "passage-members")
+    out = compared(members)
+    scratch.drop(found, wanted, members)
     return out
-
-
-_LEFT = pa.struct([("j", pa.int32()), ("h", pa.int64()), ("starts", pa.binary()), ("ends", pa.binary()), ("i", pa.int32())])
-_LEFT_SQL = "array<struct<j:int,h:bigint,starts:binary,ends:binary,i:int>>"

@@ -14,7 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SETTING = "spark.checkpoint.dir"
+SETTING, CLEANUP = "spark.checkpoint.dir", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _ROOTS: dict[str, str] = {}
 
 
@@ -44,10 +44,18 @@ def folder(spark: SparkSession, name: str) -> str:
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, written once and read back with no lineage above the files."""
+    """The same rows, written once and read back with no lineage above the files.
+
+    The shuffles that made them are deleted as soon as they are written, where this version of Spark knows how.
+    """
     spark = df.sparkSession
     path = folder(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    try:
+        spark.conf.set(CLEANUP, "true")
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
