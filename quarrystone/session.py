@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+SHARED = "spark.checkpoint.dir"
 
 
 def session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "quarrystone", **extra: str) -> SparkSession:
@@ -25,3 +29,17 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, ap
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, computed once and checkpointed in the folder that all executors share.
+
+    The folder is the one that ``spark.checkpoint.dir`` names; in local mode, where that may be unset, a temporary one is made.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        found = df.sparkSession.conf.get(SHARED, None) or context.getConf().get(SHARED)
+        if not found and not context.master.startswith("local"):
+            raise RuntimeError(f"{SHARED} must name a folder that all executors share")
+        context.setCheckpointDir(found or "file://" + tempfile.mkdtemp(prefix="quarrystone-"))
+    return df.checkpoint()

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -30,3 +35,16 @@ def test_query_equals_its_oracle(spark, name):
     columns = sorted(got.columns)
     found = con.execute(f"SELECT {', '.join(columns)} FROM ({catalogue.ORACLES[name]})").fetchall()
     assert sorted(map(repr, (tuple(r) for r in got.select(columns).collect()))) == sorted(map(repr, found))
+
+
+@pytest.mark.parametrize("left", ["nothing", "an empty folder", "an empty package", "no pipeline"])
+def test_entry_without_the_optional_parts(tmp_path, left):
+    root = Path(__spark_entry__.__file__).parent
+    shutil.copytree(root, tmp_path / "r", ignore=shutil.ignore_patterns(".git", "tests", "__pycache__", *(["corpus_pipeline.py"] if left == "no pipeline" else [])))
+    shutil.rmtree(tmp_path / "r/quarrystone/llm", ignore_errors=True)
+    if left.startswith("an empty"):
+        (tmp_path / "r/quarrystone/llm").mkdir()
+    if left == "an empty package":
+        (tmp_path / "r/quarrystone/llm/__init__.py").touch()
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=tmp_path / "r", capture_output=True, text=True)
+    assert said.stdout.split() == [str(len(catalogue.QUERIES)), str(len(catalogue.ORACLES))], said.stderr
