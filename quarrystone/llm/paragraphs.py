@@ -156,9 +156,18 @@ def _linked(members: DataFrame, sets: DataFrame, similarity: float, chunk: int)
     every = cut.select("bucket", "node", "root", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("b"), F.lit(0).alias("side"))
     outer = cut.where("root != main").select("bucket", "node", "root", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("a"), F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("b"), F.lit(1).alias("side"))
     dealt = every.unionByName(outer).join(sets, "node")
-    out = scratch.keep(components(links.unionByName(_compared(dealt, similarity))), "paragraph-components")
-    scratch.drop(links, roots, placed, mixed, rest, largest)
-    return out
+    more = scratch.keep(_compared(dealt, similarity), "paragraph-more")
+    scratch.drop(links, placed, mixed, rest, largest)
+    return roots if more.isEmpty() else _joined(roots, more)
+
+
+def _joined(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """(node, component) where links ``more`` (u, v) unite components of ``roots``, or classes that are in none."""
+    for side in ("u", "v"):
+        more = more.join(roots.select(F.col("node").alias(side), F.col("component").alias(f"{side}_root")), side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
+    tops = scratch.keep(components(more, "u_root", "v_root"), "paragraph-tops")
+    moved = roots.join(tops.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    return scratch.keep(moved.unionByName(tops.join(roots, "node", "left_anti")), "paragraph-components")
 
 
 def _named(lines: DataFrame, classes: DataFrame, linked: DataFrame) -> DataFrame:

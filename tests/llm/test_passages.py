@@ -69,3 +69,19 @@ def test_passage_in_other_lines_is_reported_and_cut(spark, tmp_path):
     assert [t[got[i].start : got[i].end].split() for i, t in ((1, long), (2, wrapped))] == [shared, shared]
     slim = {r.doc_id: r.text for r in paragraphs.without_copies(docs, paragraphs.copies(docs)).collect()}
     assert slim[1] == long and slim[2].split() == own[1][:9]
+
+
+def test_rows_that_share_an_id_keep_their_own_texts(spark):
+    rng = random.Random(5)
+
+    def text(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    rows = []
+    for doc in range(12):
+        for copy in (0, 1):  # two texts of one id, each with a near copy under an id of its own
+            words = text(70)
+            rows += [(doc, " ".join(words)), (1000 + 2 * doc + copy, " ".join([*words[:30], "edit", *words[31:]]))]
+    docs = spark.createDataFrame([(None, rows[0][1].replace("w", "v")), (None, rows[0][1]), *rows], "doc_id long, text string").repartition(3)
+    found = {(r.doc, r.cluster_doc) for r in paragraphs.clusters(docs).collect()}
+    assert {(1000 + 2 * doc + copy, doc) for doc in range(12) for copy in (0, 1)} <= found and (None, 0) in found
