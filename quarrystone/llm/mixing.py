@@ -78,8 +78,9 @@ def tempered(shares: list[float], power: float) -> list[float]:
     return [x / (sum(raised) or 1.0) for x in raised]
 
 
-def rates(soft: DataFrame, domains: int, targets: list[float] | None = None, power: float = 0.7, keep_all: bool = False, steps: int = STEPS) -> tuple[DataFrame, dict[str, list[float]]]:
-    """``soft`` with a column ``rate``, and the shares, targets and expected totals, each as a share of all tokens.
+def rates(soft: DataFrame, domains: int, targets: list[float] | None = None, power: float = 0.7, keep_all: bool = False, steps: int = STEPS) -> tuple[DataFrame, dict[str, list[float] | bool]]:
+    """``soft`` with a column ``rate``, and the shares, targets and expected totals, each as a share of all tokens, and whether
+    the totals came near enough before the steps ran out (``converged``).
 
     ``targets`` are weights of the domains (default: their shares to ``power``, see :func:`tempered`); expected totals should
     be these weights times the tokens there are, or, with ``keep_all``, times as many more that no domain must shrink. Steps
@@ -96,15 +97,19 @@ def rates(soft: DataFrame, domains: int, targets: list[float] | None = None, pow
     scale = max([s / w for s, w in zip(shares, weights, strict=True) if w > 0], default=1.0) if keep_all else 1.0
     goal = [w * scale for w in weights]
     rate, reached = F.lit(1.0), shares
+
+    def near() -> bool:
+        return not n or all(abs(a - g) <= CLOSE * max(g, s, 1e-9) for a, g, s in zip(reached, goal, shares, strict=True))
+
     for _ in range(steps):
-        off = [a - g for a, g in zip(reached, goal, strict=True)]
-        if not n or all(abs(o) <= CLOSE * max(g, s, 1e-9) for o, g, s in zip(off, goal, shares, strict=True)):
+        if near():
             break
+        off = [a - g for a, g in zip(reached, goal, strict=True)]
         move = reduce(Column.__add__, (F.col(p) * F.lit(o / s) for p, o, s in zip(names, off, shares, strict=True) if s > 0))
         rate = F.greatest(F.lit(0.0), rate - move)
         got = soft.agg(*(F.sum(F.col("tokens") * F.col(p) * rate).alias(p) for p in names)).first()
         reached = [float(got[p] or 0) / n for p in names]
-    return soft.withColumn("rate", rate), {"shares": shares, "targets": goal, "reached": reached}
+    return soft.withColumn("rate", rate), {"shares": shares, "targets": goal, "reached": reached, "converged": near()}
 
 
 def copies(rate: Column, id_: Column) -> Column:

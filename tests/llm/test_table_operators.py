@@ -179,16 +179,26 @@ def test_rates_match_targets(spark):
     assert abs(realised - 0.5) < 0.05
 
 
-def test_rates_are_projected_least_squares():
-    """The chain of steps equals the same iteration in numpy, and no rate is negative where a target is zero."""
+@pytest.mark.parametrize(("targets", "steps"), [([0.0, 0.7, 0.3], 12), ([0.2, 0.5, 0.3], 40), ([0.6, 0.2, 0.2], 1)])
+def test_rates_are_projected_least_squares(spark, targets, steps):
+    """The chain of steps equals the same iteration in numpy, no rate is negative, and the report says whether it came near."""
     rng = np.random.default_rng(0)
     p = rng.dirichlet([0.3, 0.3, 0.3], 400)
     n = rng.integers(1, 100, 400)
+    soft = spark.createDataFrame([(i, int(n[i]), *map(float, p[i])) for i in range(400)], "id long, tokens long, p0 double, p1 double, p2 double")
+    made, report = mixing.rates(soft, 3, targets, steps=steps)
+    got = np.array([r.rate for r in made.orderBy("id").collect()])
     s = (p * n[:, None]).sum(0) / n.sum()
-    goal, r = np.array([0.0, 0.7, 0.3]), np.ones(400)
-    for _ in range(500):
-        r = np.maximum(0, r - p @ (((r * n) @ p / n.sum() - goal) / s))
-    assert (r >= 0).all() and np.abs((r * n) @ p / n.sum() - goal).max() < 0.02
+    goal, r, near = np.array(targets), np.ones(400), False
+    for _ in range(steps):
+        off = (r * n) @ p / n.sum() - goal
+        near = bool((np.abs(off) <= mixing.CLOSE * np.maximum(goal, s)).all())
+        if near:
+            break
+        r = np.maximum(0, r - p @ (off / s))
+    reached = (r * n) @ p / n.sum()
+    assert np.allclose(got, r, atol=1e-9) and (got >= 0).all() and np.allclose(report["reached"], reached)
+    assert report["converged"] == bool((np.abs(reached - goal) <= mixing.CLOSE * np.maximum(goal, s)).all())
 
 
 def test_resampling_keeps_all_and_columns(spark):
