@@ -36,7 +36,7 @@ def _signals(spark, lake, corpus: str, completed: str) -> dict:  # noqa: ANN001
         monthly = spark.read.parquet(str(folder / "monthly_cohorts.parquet"))
         bounds = signals.window_bounds(indicators, dt.date.fromisoformat(completed))
         change = signals.checked_volume_change(monthly, bounds)
-        change.coalesce(1).write.option("compression", "zstd").parquet(str(folder / "volume_change.parquet"))
+        change.repartition(1).sortWithinPartitions(F.col("product_code").asc_nulls_first()).write.option("compression", "zstd").parquet(str(folder / "volume_change.parquet"))
         return {k: str(v) for k, v in (signals.summary(indicators).first().asDict() | bounds.first().asDict()).items()}
 
     return lake.publish(lake.root / "features" / corpus / "reported-severity-volume-v1", build)
@@ -52,9 +52,14 @@ def _union(frames):  # noqa: ANN001, ANN202
 def _audit(spark, lake, corpus: str) -> dict:  # noqa: ANN001
     def build(folder: Path) -> dict:
         rows = _narratives(publish.read_corpus(spark, lake, corpus))
-        made = {"exact_groups": duplicates.exact_groups(rows), "exact_members": duplicates.exact_members(rows), "report_key_overlaps": duplicates.key_overlaps(rows), "near_pairs": duplicates.near_pairs(rows)}
-        for name, df in made.items():
-            df.write.json(str(folder / f"{name}.jsonl"))
+        made = {
+            "exact_groups": duplicates.exact_groups(rows).orderBy("text_hash"),
+            "exact_members": duplicates.exact_members(rows).orderBy("text_hash", "narrative_id"),
+            "report_key_overlaps": duplicates.key_overlaps(rows).orderBy("report_id"),
+            "near_pairs": duplicates.near_pairs(rows).orderBy("target", "prior"),
+        }
+        for name, df in made.items():  # rows in order, keys in order: two runs write the same lines
+            df.select(sorted(df.columns)).write.json(str(folder / f"{name}.jsonl"))
         return {name: spark.read.text(str(folder / f"{name}.jsonl")).count() for name in made}
 
     return lake.publish(lake.root / "audits" / corpus / "exact-jaccard-v1", build)

@@ -92,10 +92,9 @@ def signal_zero_filled_grid(spark: SparkSession, sf: str) -> DataFrame:
     return signals.zero_filled(*_monthly(spark, sf)).select("product_code", "month", "report_count", "recent")
 
 
-@query(_BOUNDS + " SELECT month FROM months WHERE month NOT IN (SELECT month FROM monthly WHERE product_code = 'PROMO' AND report_count % 2 = 0)")
+@query(_BOUNDS + " SELECT month FROM months WHERE month NOT IN (SELECT month FROM monthly)")
 def signal_missing_months(spark: SparkSession, sf: str) -> DataFrame:
-    monthly, bounds = _monthly(spark, sf)
-    return signals.missing_months(monthly.where("product_code = 'PROMO' AND report_count % 2 = 0"), bounds)
+    return signals.missing_months(*_monthly(spark, sf))
 
 
 @query(_GRID + """, m AS (SELECT product_code, median(report_count) FILTER (NOT recent) AS med, coalesce(sum(report_count) FILTER (recent), 0)::BIGINT AS total FROM grid GROUP BY ALL),
@@ -478,11 +477,11 @@ def near_duplicate_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- text features
 
-_SAMPLE = 40
-_TRAIN = _NARR + f""", sample AS (SELECT CAST(narrative_id AS VARCHAR) AS report_id, text FROM narr JOIN documents ON doc_id = narrative_id WHERE split = 'train' ORDER BY sha256(CAST(narrative_id AS VARCHAR)), 1 LIMIT {_SAMPLE})"""
+_TRAIN = _NARR + f""", sample AS (SELECT CAST(narrative_id AS VARCHAR) AS report_id, text FROM narr JOIN documents ON doc_id = narrative_id WHERE split = 'train' ORDER BY sha256(CAST(narrative_id AS VARCHAR)), 1 LIMIT {tfidf.SAMPLE})"""
 _WORDS = "list_filter(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+'), lambda x: length(x) >= 2)"
 _TERMS = """, toks AS (SELECT report_id, {words} AS w FROM {rows}), terms AS (SELECT report_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM toks), cnt AS (SELECT report_id, term, count(*) AS tf FROM terms GROUP BY ALL)"""
-_VOCAB = f""", vocab AS (SELECT term, count(*) AS df, sum(tf)::BIGINT AS total, ln((1.0 + {_SAMPLE}) / (1.0 + count(*))) + 1 AS idf FROM cnt GROUP BY 1 HAVING count(*) >= 2 AND count(*) <= 0.98 * {_SAMPLE} ORDER BY total DESC, term LIMIT 2000)"""
+_VOCAB = """, size AS (SELECT count(*) AS size FROM sample), vocab AS (SELECT term, df, total, ln((1.0 + size) / (1.0 + df)) + 1 AS idf FROM (SELECT term, count(*) AS df, sum(tf)::BIGINT AS total FROM cnt GROUP BY 1), size WHERE df >= 2 AND df <= 0.98 * size ORDER BY total DESC, term LIMIT {features})"""
+_WORD_VOCAB, _CHAR_VOCAB = _VOCAB.format(features=tfidf.WORD_FEATURES), _VOCAB.format(features=tfidf.CHAR_FEATURES)
 _CHARS = """, wd AS (SELECT report_id, ' ' || unnest(string_split(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ')) || ' ' AS p FROM sample),
 terms AS (SELECT report_id, unnest(list_transform(range(1, greatest(length(p) - 1, 2)), lambda i: substr(p, i, 3))) AS term FROM wd
 UNION ALL SELECT report_id, unnest(list_transform(range(1, length(p) - 2), lambda i: substr(p, i, 4))) FROM wd WHERE length(p) >= 4 UNION ALL SELECT report_id, unnest(list_transform(range(1, length(p) - 3), lambda i: substr(p, i, 5))) FROM wd WHERE length(p) >= 5),
@@ -495,7 +494,7 @@ def _texts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_TRAIN + " SELECT report_id FROM sample")
 def training_sample(spark: SparkSession, sf: str) -> DataFrame:
-    return tfidf.training_sample(_texts(spark, sf), _SAMPLE).select("report_id")
+    return tfidf.training_sample(_texts(spark, sf)).select("report_id")
 
 
 @query(_TRAIN + " SELECT count(*) AS documents, sha256(string_agg(report_id, chr(10) ORDER BY report_id)) AS digest FROM sample")
@@ -503,26 +502,37 @@ def training_sample_digest(spark: SparkSession, sf: str) -> DataFrame:
     return tfidf.sample_digest(training_sample(spark, sf))
 
 
-def _vocabulary(spark: SparkSession, sf: str, terms: Callable) -> DataFrame:
-    counts = tfidf.term_counts(tfidf.training_sample(_texts(spark, sf), _SAMPLE), terms(F.col("text")))
-    return tfidf.vocabulary(counts, _SAMPLE, 2000)
+def _vocabulary(spark: SparkSession, sf: str, terms: Callable, features: int) -> DataFrame:
+    sample = tfidf.training_sample(_texts(spark, sf))
+    return tfidf.vocabulary(tfidf.term_counts(sample, terms(F.col("text"))), sample.count(), features)
 
 
-@query(_TRAIN + _TERMS.format(words=_WORDS, rows="sample") + _VOCAB + " SELECT term, df, total, round(idf, 6) AS idf FROM vocab")
+@query(_TRAIN + _TERMS.format(words=_WORDS, rows="sample") + _WORD_VOCAB + " SELECT term, df, total, round(idf, 6) AS idf FROM vocab")
 def tfidf_word_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    return _vocabulary(spark, sf, tfidf.word_terms).withColumn("idf", F.round("idf", 6))
+    return _vocabulary(spark, sf, tfidf.word_terms, tfidf.WORD_FEATURES).withColumn("idf", F.round("idf", 6))
 
 
-@query(_TRAIN + _CHARS + _VOCAB + " SELECT term, df, total, round(idf, 6) AS idf FROM vocab")
+@query(_TRAIN + _CHARS + _CHAR_VOCAB + " SELECT term, df, total, round(idf, 6) AS idf FROM vocab")
 def tfidf_char_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    return _vocabulary(spark, sf, tfidf.char_terms).withColumn("idf", F.round("idf", 6))
+    return _vocabulary(spark, sf, tfidf.char_terms, tfidf.CHAR_FEATURES).withColumn("idf", F.round("idf", 6))
 
 
-@query(_TRAIN + _TERMS.format(words=_WORDS, rows="sample") + _VOCAB + _TERMS.format(words=_WORDS, rows="dated").replace("toks", "toks2").replace("terms", "terms2").replace("cnt", "cnt2").replace(", toks2 AS", ", dated AS (SELECT CAST(narrative_id AS VARCHAR) AS report_id, text FROM narr JOIN documents ON doc_id = narrative_id WHERE split IS NOT NULL), toks2 AS", 1)
+@query(_TRAIN + _TERMS.format(words=_WORDS, rows="sample") + _WORD_VOCAB + _TERMS.format(words=_WORDS, rows="dated").replace("toks", "toks2").replace("terms", "terms2").replace("cnt", "cnt2").replace(", toks2 AS", ", dated AS (SELECT CAST(narrative_id AS VARCHAR) AS report_id, text FROM narr JOIN documents ON doc_id = narrative_id WHERE split IS NOT NULL), toks2 AS", 1)
        + ", raw AS (SELECT report_id, term, (1 + ln(tf)) * idf AS r FROM cnt2 JOIN vocab USING (term)) SELECT report_id, term, round(r / sqrt(sum(r * r) OVER (PARTITION BY report_id)), 6) AS weight FROM raw")
 def tfidf_word_weights(spark: SparkSession, sf: str) -> DataFrame:
     texts = _texts(spark, sf)
-    made = tfidf.weights(tfidf.term_counts(texts.where("split IS NOT NULL"), tfidf.word_terms(F.col("text"))), _vocabulary(spark, sf, tfidf.word_terms))
+    made = tfidf.weights(tfidf.term_counts(texts.where("split IS NOT NULL"), tfidf.word_terms(F.col("text"))), _vocabulary(spark, sf, tfidf.word_terms, tfidf.WORD_FEATURES))
+    return made.withColumn("weight", F.round("weight", 6))
+
+
+_DATED = ", dated AS (SELECT CAST(narrative_id AS VARCHAR) AS report_id, text FROM narr JOIN documents ON doc_id = narrative_id WHERE split IS NOT NULL)"
+_CHARS2 = _CHARS.replace("wd", "wd2").replace("terms", "terms2").replace("cnt", "cnt2").replace("FROM sample", "FROM dated")
+
+
+@query(_TRAIN + _CHARS + _CHAR_VOCAB + _DATED + _CHARS2 + ", raw AS (SELECT report_id, term, (1 + ln(tf)) * idf AS r FROM cnt2 JOIN vocab USING (term)) SELECT report_id, term, round(r / sqrt(sum(r * r) OVER (PARTITION BY report_id)), 6) AS weight FROM raw")
+def tfidf_char_weights(spark: SparkSession, sf: str) -> DataFrame:
+    texts = _texts(spark, sf)
+    made = tfidf.weights(tfidf.term_counts(texts.where("split IS NOT NULL"), tfidf.char_terms(F.col("text"))), _vocabulary(spark, sf, tfidf.char_terms, tfidf.CHAR_FEATURES))
     return made.withColumn("weight", F.round("weight", 6))
 
 

@@ -203,3 +203,12 @@ def test_rows_are_conserved(spark, rows):
     counts = pipe.parse_counts(judged).first()
     good = sum(len(r) == 2 and bool(r[0].strip()) for r in rows)
     assert (counts.seen, counts.accepted, counts.rejected) == (len(rows), good, len(rows) - good)
+
+
+def test_a_month_without_any_report_is_missing(spark):
+    days = [dt.date(2024, 1 + m, 5) for m in range(12) if m != 6] + [dt.date(2025, 1 + m, 5) for m in range(6)]
+    reports = spark.createDataFrame([(str(i), "I", d, "s") for i, d in enumerate(days)], "mdr_report_key string, event_type string, date_received date, dataset_snapshot_id string")
+    devices = spark.createDataFrame([(str(i), "ABC") for i in range(len(days))], "mdr_report_key string, device_report_product_code string")
+    indicators = signals.report_indicators(reports, devices)
+    bounds = signals.window_bounds(indicators, dt.date(2025, 7, 1))
+    assert [r.month for r in signals.missing_months(signals.monthly_cohorts(indicators), bounds).collect()] == [dt.date(2024, 7, 1)]
