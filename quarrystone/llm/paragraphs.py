@@ -27,6 +27,7 @@ from quarrystone.llm import passages, pieces, scratch
 from quarrystone.llm.components import components
 
 WORDS, WIDTH, SIMILARITY, RECALL, BANDS, CHUNK = 20, 5, 0.8, 0.9995, 24, 512
+BLOCK = 64  # sets compared with one set at a time
 Norm = list[bytes]
 
 
@@ -62,6 +63,15 @@ def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return both >= similarity * (len(a) + len(b) - both)
 
 
+def shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many elements each of ``others`` shares with ``one``; all are sorted and distinct."""
+    if not others or not len(one):
+        return np.zeros(len(others), np.int64)
+    every = np.concatenate(others)
+    same = one[np.minimum(np.searchsorted(one, every), len(one) - 1)] == every
+    return np.bincount(np.repeat(np.arange(len(others)), [len(x) for x in others])[same], minlength=len(others))
+
+
 def _bucket(node: np.ndarray, root: np.ndarray, side: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
     """Links that join components which meet in one bucket, of its rows on side 1 with all rows: (node, other node)."""
     group = {r: r for r in root.tolist()}
@@ -76,11 +86,15 @@ def _bucket(node: np.ndarray, root: np.ndarray, side: np.ndarray, sets: list[np.
     size = np.array([len(x) for x in sets])
     for i in np.flatnonzero(side).tolist():
         fits = (size >= similarity * size[i]) & (similarity * size <= size[i]) & (root != root[i])
-        for j in np.flatnonzero(fits).tolist():
-            x, y = top(int(root[i])), top(int(root[j]))
-            if x != y and alike(sets[i], sets[j], similarity):
-                group[max(x, y)] = min(x, y)
-                found.append((int(node[j]), int(node[i])))
+        others = np.flatnonzero(fits).tolist()
+        for at in range(0, len(others), BLOCK):
+            some = [j for j in others[at : at + BLOCK] if top(int(root[j])) != top(int(root[i]))]
+            both = shared(sets[i], [sets[j] for j in some])
+            for k in np.flatnonzero(both >= similarity * (size[i] + size[some] - both)).tolist() if some else ():
+                x, y = top(int(root[i])), top(int(root[some[k]]))
+                if x != y:
+                    group[max(x, y)] = min(x, y)
+                    found.append((int(node[some[k]]), int(node[i])))
     return found
 
 
