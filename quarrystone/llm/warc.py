@@ -6,7 +6,8 @@ inflates one member after another, frames blocks by Content-Length and verifies
 
 Archives are written by the tasks through :mod:`pyarrow.fs`, so the folder can be on any file system that it knows and all
 executors share; a file gets its final name only when it is whole, and a task that runs again writes the same bytes under
-the same name. They are read back by Spark's own file reader.
+the same name. Spark lists the archives to read; the tasks open them through the same module and take them piece by piece,
+so that an archive may be of any size: a task holds one record and the rows of one batch.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -29,6 +31,8 @@ from quarrystone.llm import scratch
 
 #: Payloads of fewer bytes are always stored whole; an archive is closed when it has this many bytes; pieces for the reader.
 LEAST, ARCHIVE, PIECE = 0, 1 << 24, 1 << 16
+#: Rows, or bytes of payload, after which the reader hands over what it has read.
+ROWS, BATCH = 4_096, 1 << 22
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -150,6 +154,11 @@ def read(pieces: Iterable[bytes]) -> Iterator[Record]:
         yield record
 
 
+def located(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark writes it, in which nothing is escaped, and the name there."""
+    return fs.FileSystem.from_uri(quote(path, safe="/:@[]!$&'()*+,;=~"))
+
+
 def marked(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = LEAST) -> DataFrame:
     """(id, url, html, refers_to, revisit): which page holds each payload.
 
@@ -170,7 +179,7 @@ def write(pages: DataFrame, folder: str, least: int = LEAST, archive: int = ARCH
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, base = fs.FileSystem.from_uri(folder)
+        where, base = located(folder)
         where.create_dir(base, recursive=True)
         part, made, out, count, size = TaskContext.get().partitionId(), [], None, 0, 0
 
@@ -213,8 +222,13 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
     names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
 
-    def rows(content: bytes) -> Iterator[tuple]:
-        for record in read(content[i : i + PIECE] for i in range(0, len(content), PIECE)):
+    def rows(path: str) -> Iterator[tuple]:
+        where, name = located(path)
+        with where.open_input_stream(name, compression=None) as stream:
+            yield from of_records(read(iter(lambda: stream.read(PIECE), b"")))
+
+    def of_records(records: Iterable[Record]) -> Iterator[tuple]:
+        for record in records:
             if record.kind in ("response", "revisit"):
                 head, payload = record.http()
                 whole = record.kind == "response"
@@ -222,11 +236,21 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
                     raise Damaged(f"payload length of {record.headers['WARC-Record-ID']}")
                 yield (page_of(record.headers["WARC-Record-ID"]), record.headers.get("WARC-Target-URI"), record.kind, int(head["Content-Length"]), digest(payload) if whole else record.headers["WARC-Payload-Digest"].removeprefix("sha1:"), None if whole else page_of(record.headers["WARC-Refers-To"]), payload if whole and payloads else None)
 
+    def made(part: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part, strict=True), kinds, strict=True)], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, size = [], 0
         for batch in batches:
-            for content in batch.column(0):
-                columns = list(zip(*rows(content.as_py()), strict=True)) or [[]] * len(names)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+            for path in batch.column(0).to_pylist():
+                for row in rows(path):
+                    part.append(row)
+                    size += len(row[-1] or b"")
+                    if len(part) >= ROWS or size >= BATCH:
+                        yield made(part)
+                        part, size = [], 0
+        if part:
+            yield made(part)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
-    return files.select("content").mapInArrow(run, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary")
+    return files.select("path").mapInArrow(run, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary")
