@@ -4,7 +4,12 @@ A text is scanned as it stands. Each line that holds something encoded then ente
 character escapes, and base64 tokens (inflated when they hold a compressed stream) are replaced by what they stand for, the
 result is scanned and goes back on the list, until nothing decodes further. Every character of a layer knows the stretch of
 the original text that it came from, so a finding in any layer has a span in the original. A layer whose text has been seen
-at the same place is not entered again, which ends cycles such as a stream that inflates to itself.
+with the same places is not entered again, and a stream whose bytes have been seen is not inflated again, which ends cycles
+such as a stream that inflates to itself.
+
+Streams are inflated piece by piece, through all streams inside them. A layer that they make longer than ``WINDOW`` goes on
+the list in windows that overlap by a quarter, so memory is bounded whatever a stream inflates to; time is in proportion to
+it. Only an encoded token of over a quarter of a window, inside such a layer, may be cut.
 
 No secret spans lines in its plain form, so decoding by line loses no context; base64 wrapped at a fixed width is one token
 over all its lines. The scan is a map over rows.
@@ -15,13 +20,16 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
 import unicodedata
 import zlib
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,12 +43,16 @@ NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
-#: A stream that would inflate beyond this many bytes is left as it is: it is a bomb, not a text.
-INFLATED = 1 << 26
+#: Characters of a window (or as many as the layer it was made from), bytes that go into and come out of a decompressor at once.
+WINDOW, FEED, PIECE = 1 << 20, 1 << 12, 1 << 18
+#: Bytes that show whether a stream begins, characters that must be readable before the rest of a path is decoded.
+MAGIC, PROBE = 6, 48
 #: The share of readable characters that makes a layer a text, the kinds of blanks and marks that count, bytes that are not UTF-8.
 READABLE, TEXT, LOST = 0.8, {"Zs", "Zl", "Zp", "Cf"}, re.compile("[\udc80-\udcff]")
 
 Span = tuple[int, int]
+#: A decoded text in pieces; with each the starts and ends of its characters in the token, or None where all have the whole token.
+Pieces = Iterable[tuple[str, tuple[array, array] | None]]
 
 
 def scan(text: str) -> Iterator[tuple[int, int, int]]:
@@ -58,27 +70,32 @@ class Layer:
     """A decoded text and, for each of its characters, the stretch of the original it came from."""
 
     text: str
-    low: list[int]
-    high: list[int]
+    low: array
+    high: array
     depth: int
 
 
-def _percent(m: re.Match[str]) -> tuple[str, list[Span] | None] | None:
-    text = bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "replace")
-    spans, at = [], 0
-    for c in text:
-        size = 3 * len(c.encode()) if c != "\ufffd" else 3
-        spans.append((at, at + size))
+def _spans(sizes: Iterable[int]) -> tuple[array, array]:
+    starts, ends, at = array("q"), array("q"), 0
+    for size in sizes:
+        starts.append(at)
         at += size
-    return text, spans if at == len(m[0]) else None
+        ends.append(at)
+    return starts, ends
 
 
-def _escape(m: re.Match[str]) -> tuple[str, list[Span] | None] | None:
+def _percent(m: re.Match[str]) -> Pieces | None:
+    text = bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "replace")
+    spans = _spans(3 * len(c.encode()) if c != "\ufffd" else 3 for c in text)
+    return [(text, spans if spans[1][-1] == len(m[0]) else None)]
+
+
+def _escape(m: re.Match[str]) -> Pieces | None:
     body = m[0].strip("\\&#;{}uUxX")
     number = int(body, 10 if m[0][0] == "&" and m[0][2] not in "xX" else 16)
     if number > 0x10FFFF or 0xD800 <= number < 0xE000:
         return None
-    return chr(number), None
+    return [(chr(number), None)]
 
 
 def _stream(raw: bytes) -> Callable | None:
@@ -94,23 +111,75 @@ def _stream(raw: bytes) -> Callable | None:
     return None
 
 
-def _inflated(raw: bytes) -> bytes | None:
-    """What the streams one after another hold, or None where there is none or they are too large."""
-    parts, room = [], INFLATED
-    while (make := _stream(raw)) is not None:
+def _inflated(source: Iterator[bytes]) -> Iterator[bytes | None]:
+    """What the streams one after another hold, in pieces, and None at the end of each; ends where none begins or one breaks."""
+    held = b""
+    while True:
+        while len(held := held.lstrip(b"\0")) < MAGIC and (more := next(source, None)) is not None:  # xz pads its streams
+            held += more
+        if (make := _stream(held)) is None:
+            return
         try:
             tool = make()
-            out = tool.decompress(raw, room + 1)
+            while not tool.eof:
+                if not held and getattr(tool, "needs_input", True) and not (held := next(source, b"")):
+                    return
+                if out := tool.decompress(held, PIECE):
+                    yield out
+                held = getattr(tool, "unconsumed_tail", b"")
         except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-            break
-        if len(out) > room:
+            return
+        held = tool.unused_data
+        yield None
+
+
+def _first(pieces: Callable[[], Iterator[bytes]], size: int) -> Iterator[bytes]:
+    """The first ``size`` bytes that the streams in ``pieces`` hold."""
+    for out in _inflated(pieces()):
+        if out:
+            yield out[:size]
+            size -= len(out)
+            if size <= 0:
+                return
+
+
+def _innermost(raw: bytes) -> Callable[[], Iterator[bytes]] | None:
+    """What gives the bytes inside all nested streams, again at every call; None where no whole stream begins or one holds itself."""
+    pieces, seen, whole = lambda: (raw[at : at + FEED] for at in range(0, len(raw), FEED)), set(), None
+    while True:
+        head, source = b"", pieces()
+        while len(head) < MAGIC and (more := next(source, None)) is not None:
+            head += more
+        if _stream(head) is None:
+            return whole
+        size, ended, digest, mark = 0, 0, hashlib.blake2b(), b""
+        for out in _inflated(pieces()):
+            if out is None:
+                ended, mark = size, digest.digest()
+            else:
+                size += len(out)
+                digest.update(out)
+        if not ended:
+            return whole
+        if mark in seen:
             return None
-        if not tool.eof:
-            break
-        parts.append(out)
-        room -= len(out)
-        raw = tool.unused_data.lstrip(b"\0")  # xz pads its streams
-    return b"".join(parts) if parts else None
+        seen.add(mark)
+        pieces = whole = partial(_first, pieces, ended)
+
+
+def _texts(pieces: Iterable[bytes]) -> Iterator[str]:
+    """The readable ones of the texts, of about a window each, that the pieces make."""
+    decoder, held, size = codecs.getincrementaldecoder("utf-8")("surrogateescape"), [], 0
+    for piece in pieces:
+        held.append(decoder.decode(piece))
+        size += len(held[-1])
+        if size >= WINDOW:
+            text, held, size = "".join(held), [], 0
+            if _readable(text):
+                yield LOST.sub("\ufffd", text)
+    text = "".join([*held, decoder.decode(b"", True)])
+    if text and _readable(text):
+        yield LOST.sub("\ufffd", text)
 
 
 def _readable(text: str) -> bool:
@@ -120,33 +189,29 @@ def _readable(text: str) -> bool:
     return sum(c.isprintable() or unicodedata.category(c) in TEXT or c in "\t\r\n\f\v" for c in text) >= READABLE * len(text)
 
 
-def _base64(m: re.Match[str] | Stretch) -> tuple[str, list[Span] | None] | None:
-    token = m[0].rstrip("=")
+def _raw(token: str) -> bytes | None:
+    token = token.rstrip("=")
     if len(token) % 4 == 1 or ("+" in token or "/" in token) and ("-" in token or "_" in token):
         return None
     try:
-        raw = base64.b64decode(token.replace("-", "+").replace("_", "/") + "=" * (-len(token) % 4), validate=True)
+        return base64.b64decode(token.replace("-", "+").replace("_", "/") + "=" * (-len(token) % 4), validate=True)
     except (binascii.Error, ValueError):
         return None
-    whole, seen = False, set()
-    while (out := _inflated(raw)) is not None:
-        digest = hashlib.blake2b(out).digest()
-        if digest in seen:
+
+
+def _base64(m: re.Match[str] | Stretch) -> Pieces | None:
+    if (raw := _raw(m[0])) is None:
+        return None
+    if _stream(raw) is not None and (inner := _innermost(raw)) is not None:
+        texts = _texts(inner())
+        if (first := next(texts, None)) is None:
             return None
-        seen.add(digest)
-        raw, whole = out, True
+        return ((text, None) for some in ([first], texts) for text in some)
     text = raw.decode("utf-8", "surrogateescape")
     if not text or not _readable(text):
         return None
-    shown = LOST.sub("\ufffd", text)
-    if whole:
-        return shown, None
-    spans, at = [], 0
-    for c in text:
-        size = 1 if "\udc80" <= c <= "\udcff" else len(c.encode())
-        spans.append((at * 4 // 3, min(len(m[0]), -(-(at + size) * 4 // 3))))
-        at += size
-    return shown, spans
+    starts, ends = _spans(1 if "\udc80" <= c <= "\udcff" else len(c.encode()) for c in text)
+    return [(LOST.sub("\ufffd", text), (array("q", (s * 4 // 3 for s in starts)), array("q", (min(len(m[0]), -(-e * 4 // 3)) for e in ends))))]
 
 
 @dataclass
@@ -194,34 +259,72 @@ class Wrapped:
                 return
 
 
-def _wrapped(m: Stretch) -> tuple[str, list[Span] | None] | None:
-    found = _base64(m)
-    if found is None or found[1] is None:
-        return found
-    return found[0], [(m.places[s], m.places[e - 1] + 1) for s, e in found[1]]
+def _wrapped(m: Stretch) -> Pieces | None:
+    if (found := _base64(m)) is None:
+        return None
+    return ((text, spans and (array("q", (m.places[s] for s in spans[0])), array("q", (m.places[e - 1] + 1 for e in spans[1])))) for text, spans in found)
+
+
+class Tail:
+    """The end of a path such as ``/data/aGVsbG8=``, from the first slash after which it is base64."""
+
+    def finditer(self, text: str) -> Iterator[Stretch]:
+        for m in BASE64.finditer(text):
+            if "/" not in m[0] or _base64(m) is not None:
+                continue
+            at = m[0].find("/") + 1
+            while at and len(m[0]) - at >= 12:
+                one = Stretch(m.start() + at, m[0][at:], range(len(m[0]) - at)) if self._begins(m[0][at : at + PROBE]) else None
+                if one is not None and _base64(one) is not None:
+                    yield one
+                    break
+                at = m[0].find("/", at) + 1
+
+    @staticmethod
+    def _begins(head: str) -> bool:
+        raw = _raw(head[: len(head) // 4 * 4])
+        return raw is not None and (_stream(raw) is not None or _readable(raw.decode("utf-8", "surrogateescape")))
 
 
-DECODERS = ((PERCENT, _percent), (ESCAPE, _escape), (BASE64, _base64), (Wrapped(), _wrapped))
+DECODERS = ((PERCENT, _percent), (ESCAPE, _escape), (BASE64, _base64), (Wrapped(), _wrapped), (Tail(), _base64))
 
 
-def _unwrapped(layer: Layer, pattern: re.Pattern[str] | Wrapped, decode: Callable) -> Layer | None:
-    """The layer with every match that decodes replaced, or None where none does."""
-    text, low, high, at, changed = [], [], [], 0, False
+def _pieces(layer: Layer, pattern: re.Pattern[str] | Wrapped | Tail, decode: Callable) -> Iterator[tuple[str, array, array]]:
+    """The layer with every match that decodes replaced, in pieces with their places; nothing where none does."""
+    at = 0
     for m in pattern.finditer(layer.text):
         if (found := decode(m)) is None:
             continue
-        a, b, changed = m.start(), m.end(), True
-        text += [layer.text[at:a], found[0]]
-        low += layer.low[at:a]
-        high += layer.high[at:a]
-        spans = found[1] or [(0, b - a)] * len(found[0])
-        for s, e in spans:
-            low.append(layer.low[a + s])
-            high.append(layer.high[a + e - 1])
+        a, b = m.start(), m.end()
+        yield layer.text[at:a], layer.low[at:a], layer.high[at:a]
+        for text, spans in found:
+            if spans is None:
+                yield text, array("q", [layer.low[a]]) * len(text), array("q", [layer.high[b - 1]]) * len(text)
+            else:
+                yield text, array("q", (layer.low[a + s] for s in spans[0])), array("q", (layer.high[a + e - 1] for e in spans[1]))
         at = b
-    if not changed:
-        return None
-    return Layer("".join([*text, layer.text[at:]]), low + layer.low[at:], high + layer.high[at:], layer.depth + 1)
+    if at:
+        yield layer.text[at:], layer.low[at:], layer.high[at:]
+
+
+def _unwrapped(layer: Layer, pattern: re.Pattern[str] | Wrapped | Tail, decode: Callable) -> Iterator[Layer]:
+    """The layer with every match that decodes replaced, in overlapping windows where that is much longer than the layer."""
+    room, texts, low, high, size = max(WINDOW, len(layer.text)), [], array("q"), array("q"), 0
+    for text, starts, ends in _pieces(layer, pattern, decode):
+        for k in range(0, len(text), room):
+            texts.append(text[k : k + room])
+            low += starts[k : k + room]
+            high += ends[k : k + room]
+            size += len(texts[-1])
+            if size > 2 * room:
+                whole = "".join(texts)
+                yield Layer(whole, low, high, layer.depth + 1)
+                cut = size - room // 4
+                blank = re.compile(r"\s").search(whole, cut)
+                cut = blank.end() if blank else cut
+                texts, low, high, size = [whole[cut:]], low[cut:], high[cut:], size - cut
+    if texts:
+        yield Layer("".join(texts), low, high, layer.depth + 1)
 
 
 def _encoded_lines(text: str) -> list[Span]:
@@ -242,21 +345,22 @@ def findings(text: str | None) -> list[tuple[str, int, int, int]]:
     text = text or ""
     found = {x: 0 for x in scan(text)}
     for a, b in _encoded_lines(text):
-        work, seen = [Layer(text[a:b], list(range(a, b)), list(range(a + 1, b + 1)), 0)], set()
+        work, seen = [iter([Layer(text[a:b], array("q", range(a, b)), array("q", range(a + 1, b + 1)), 0)])], set()
         while work:
-            layer = work.pop()
-            for pattern, decode in DECODERS:
-                new = _unwrapped(layer, pattern, decode)
-                if new is None:
-                    continue
-                mark = hashlib.blake2b(new.text.encode("utf-8", "surrogatepass")).digest()
-                if mark in seen:
+            if (layer := next(work[-1], None)) is None:
+                work.pop()
+                continue
+            if layer.depth:
+                mark = hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"))
+                mark.update(layer.low)
+                mark.update(layer.high)
+                if mark.digest() in seen:
                     continue
-                seen.add(mark)
-                for kind, s, e in scan(new.text):
-                    span = kind, min(new.low[s:e]), max(new.high[s:e])
-                    found[span] = min(new.depth, found.get(span, new.depth))
-                work.append(new)
+                seen.add(mark.digest())
+                for kind, s, e in scan(layer.text):
+                    span = kind, min(layer.low[s:e]), max(layer.high[s:e])
+                    found[span] = min(layer.depth, found.get(span, layer.depth))
+            work += [_unwrapped(layer, pattern, decode) for pattern, decode in DECODERS]
     return [(KINDS[k], s, e, d) for (k, s, e), d in sorted(found.items(), key=lambda x: (x[0][1], x[0][0], x[0][2]))]
 
 
