@@ -7,9 +7,9 @@ the original text that it came from, so a finding in any layer has a span in the
 with the same places is not entered again, and a stream whose bytes have been seen is not inflated again, which ends cycles
 such as a stream that inflates to itself.
 
-Streams are inflated piece by piece, through all streams inside them. A layer that they make longer than ``WINDOW`` goes on
-the list in windows that overlap by a quarter, so memory is bounded whatever a stream inflates to; time is in proportion to
-it. Only an encoded token of over a quarter of a window, inside such a layer, may be cut.
+Streams are inflated piece by piece, through all streams inside them. A layer that they make longer than twice ``WINDOW`` (or
+its source, if longer) goes on the list in windows that overlap by a quarter of that, so memory is bounded whatever a stream
+inflates to; time is in proportion to it. Only an encoded token longer than the overlap, inside such a layer, may be cut.
 
 No secret spans lines in its plain form, so decoding by line loses no context; base64 wrapped at a fixed width is one token
 over all its lines. The scan is a map over rows.
