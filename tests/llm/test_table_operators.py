@@ -235,4 +235,5 @@ def test_pipeline_stages(spark):
     toxic = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").where("toxic = 1").collect()}
     assert 0 < len(ids) < docs.count() and len(ids & toxic) <= 0.5 * max(1, len(toxic))
     last = corpus_pipeline.STAGES[-1][1](spark, seen, sf)
-    assert last.columns == [*columns, "ids"] and last.where(F.size("ids") == 0).count() <= seen.where("text = ''").count()
+    assert last.where("decoded IS NULL OR decoded != coalesce(text, '')").count() == 0
+    assert last.columns == [*columns, "ids", "decoded"] and last.where(F.size("ids") == 0).count() <= seen.where("text = ''").count()
